@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii
+from . import exact_dedup, mixing, pii, url_rules
 from .common import table
 
 
@@ -14,5 +14,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_pii": op1_pii}
-ORACLE_SQL: dict[str, str] = {}
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most two passes over any source, no source short of one pass."""
+    return mixing.mixed(table(spark, sf_dir, "documents"), repetition_limit=2.0).select("doc_id", "source", "n_tokens", "weight", "exponent", "copies")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op3_url_rules": op3_url_rules,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op10_mixing": op10_mixing,
+}
+ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE}
