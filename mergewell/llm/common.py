@@ -1,43 +1,15 @@
-"""Shared storage, table access and text helpers of the corpus operators."""
+"""Table access and text helpers of the corpus operators."""
 
 from __future__ import annotations
 
-import uuid
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder (tests, laptops).
-LOCAL_CHECKPOINTS = "file:/tmp/checkpoints/mergewell"
+from ..storage import drop_materialized, materialize, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS).rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    The written table cuts the lineage: a lost executor costs a re-read, not a re-run, and
-    values made from partition numbers are fixed once.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/mergewell-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._mergewell_path = path  # type: ignore[attr-defined]
-    return out
-
-
-def drop_materialized(df: DataFrame) -> None:
-    """Delete a table of :func:`materialize` that no later result reads."""
-    path = getattr(df, "_mergewell_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+__all__ = ["drop_materialized", "id_remainder", "materialize", "partitions_for", "shared_dir", "stable_hash", "table", "whole_texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, pii, url_rules
+from . import exact_dedup, minhash, mixing, pii, url_rules
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most two passes over any source, no source short of one pass."""
     return mixing.mixed(table(spark, sf_dir, "documents"), repetition_limit=2.0).select("doc_id", "source", "n_tokens", "weight", "exponent", "copies")
@@ -31,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_url_rules": op3_url_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_minhash": op8_minhash,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE}
