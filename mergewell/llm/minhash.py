@@ -69,7 +69,7 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
         return h
     n = max(1, len(h) - words + 1)
     width = min(words, len(h))
-    s = np.full(n, np.uint64(width) * _MIX, dtype=np.uint64)
+    s = np.full(n, width, dtype=np.uint64)
     for k in range(width):
         s = (s ^ h[k : k + n]) * _MIX
         s ^= s >> np.uint64(31)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, minhash, mixing, pii, url_rules
+from . import exact_dedup, minhash, mixing, pii, token_output, url_rules
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.read_token_files(token_output.write_token_files(table(spark, sf_dir, "documents")))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_url_rules": op3_url_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_token_output": op5_token_output,
     "op8_minhash": op8_minhash,
     "op10_mixing": op10_mixing,
 }
