@@ -1,0 +1,270 @@
+"""Language-model scores by a Brown class bigram model.
+
+Words are counted over all training documents.  The most frequent ``CLUSTERED`` words are put into
+classes by exchange clustering: each word moves to the class that raises the likelihood of the class
+bigrams most, until a round moves none.  Every other word, seen or not, belongs to an ending class,
+by the crc32 of its last two bytes.  A token's probability is its class given the class before it,
+times the word given its class; a word never seen takes its class's share of words seen once.
+
+Scale: counting, the bigrams of symbols (clustered words, ending classes, the end) and scoring are
+three passes that leave texts where they are.  Counts of the ``HEAD`` most frequent words are sent to
+the workers; that bound holds at every size.  Rarer words meet their counts in a join on the word,
+one row per document and word, and no such word can be hot, for hot words are in the head.  The driver
+holds the head and a matrix of symbols, both of fixed size.
+
+Defined results: a null text is empty and scores its end alone; without training documents every
+word is unknown; rows that repeat an id each give a row; null ids count as the empty text in the
+split; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+from collections import Counter
+from collections.abc import Iterator
+from zlib import crc32
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import id_remainder, materialize, whole_texts
+
+HEAD = 150_000
+CLUSTERED = 1000
+CLASSES = 40
+ENDINGS = 32
+#: Weight, in tokens, of the class shares when a class's followers are smoothed.
+PRIOR = 10.0
+REMEMBERED = 300_000
+
+
+def _ending(word: bytes) -> int:
+    return crc32(word[-2:]) % ENDINGS
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = [pa.binary(), pa.int64()]
+    found: Counter = Counter()
+
+    def out() -> pa.RecordBatch:
+        row = pa.RecordBatch.from_arrays([pa.array(list(found), kind[0]), pa.array(list(found.values()), kind[1])], names=["word", "c"])
+        found.clear()
+        return row
+
+    for batch in batches:
+        for i in range(0, batch.num_rows, 500):
+            for t in batch.column(0).slice(i, 500).cast(pa.binary()).to_pylist():
+                found.update(t.lower().split())
+            if len(found) > REMEMBERED:
+                yield out()
+    yield out()
+
+
+class _Symbols(dict):
+    """Symbol of a word; words that are not clustered share the symbol of their ending."""
+
+    def __init__(self, clustered: list[bytes]):
+        super().__init__((w, i) for i, w in enumerate(clustered))
+        self.first = len(clustered)
+
+    def __missing__(self, word: bytes) -> int:
+        s = self.first + _ending(word)
+        if len(self) < REMEMBERED:
+            self[word] = s
+        return s
+
+
+def _pairs(clustered: list[bytes]):
+    """Counts of adjacent symbols, the end of a document standing before and after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols = _Symbols(clustered)
+        end = symbols.first + ENDINGS
+        size = end + 1
+        total = np.zeros(size * size, np.int64)
+        symbol = symbols.__getitem__
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2000):
+                row = [end]
+                for t in batch.column(0).slice(i, 2000).cast(pa.binary()).to_pylist():
+                    row.extend(map(symbol, t.lower().split()))
+                    row.append(end)
+                a = np.array(row, dtype=np.int64)
+                total += np.bincount(a[:-1] * size + a[1:], minlength=size * size)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["pair", "n"])
+
+    return run
+
+
+def exchange_classes(pairs: np.ndarray, words: int, classes: int, most_rounds: int = 12) -> np.ndarray:
+    """Class of every symbol; symbols from ``words`` on keep a class of their own.
+
+    ``pairs[a, b]`` counts symbol b after symbol a.  The objective is the class-bigram likelihood.
+    """
+
+    def f(x: np.ndarray) -> np.ndarray:
+        return x * np.log(np.maximum(x, 1.0))
+
+    symbols = len(pairs)
+    classes = max(1, min(classes, words))
+    of = np.concatenate([np.arange(words) % classes, classes + np.arange(symbols - words)])
+    n = classes + symbols - words
+    one = np.zeros((symbols, n))
+    one[np.arange(symbols), of] = 1
+    table = one.T @ pairs @ one
+    for _ in range(most_rounds):
+        moved = 0
+        for w in range(words):
+            own = of[w]
+            itself = pairs[w, w]
+            after = np.bincount(of, weights=pairs[w], minlength=n)
+            before = np.bincount(of, weights=pairs[:, w], minlength=n)
+            after[own] -= itself
+            before[own] -= itself
+            # Take the word out of its class, then gain of putting it into each class.
+            table[own] -= after
+            table[:, own] -= before
+            table[own, own] -= itself
+            rows, cols = table[:classes], table[:, :classes].T
+            i = np.arange(classes)
+            gain = (f(rows + after) - f(rows)).sum(1) + (f(cols + before) - f(cols)).sum(1)
+            diagonal = table[i, i]
+            gain -= f(diagonal + after[i]) + f(diagonal + before[i]) - 2 * f(diagonal)
+            gain += f(diagonal + after[i] + before[i] + itself) - f(diagonal)
+            left, right = rows.sum(1), cols.sum(1)
+            gain -= f(left + after.sum() + itself) - f(left) + f(right + before.sum() + itself) - f(right)
+            best = int(gain.argmax())
+            if gain[best] <= gain[own] + 1e-9:
+                best = own
+            moved += best != own
+            of[w] = best
+            table[best] += after
+            table[:, best] += before
+            table[best, best] += itself
+        if not moved:
+            break
+    return of
+
+
+def _score(model: dict):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, of, base, emit, step = model["place"], model["class"], model["base"], model["emit"], model["step"]
+        ending, end = model["ending"], model["end"]
+        get = place.get
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                n, known, low, high, rare, times = [], [], [], [], [], []
+                for t in part.column(2).cast(pa.binary()).to_pylist():
+                    words = t.lower().split()
+                    at = np.array([get(w, -1) for w in words], dtype=np.int64)
+                    seen = at >= 0
+                    kinds = of[at]
+                    missing = [words[j] for j in np.flatnonzero(~seen)]
+                    if missing:
+                        kinds[~seen] = [ending + _ending(w) for w in missing]
+                    path = np.concatenate([[end], kinds, [end]])
+                    inside = at[seen]
+                    n.append(len(words) + 1)
+                    known.append(len(inside) + model["end_known"])
+                    low.append(float(base[inside].sum()) + model["end_base"])
+                    high.append(float(emit[inside].sum() + step[path[:-1], path[1:]].sum()))
+                    few = Counter(missing)
+                    rare.append(list(few))
+                    times.append(list(few.values()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(low, pa.float64()), pa.array(high, pa.float64()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
+                    names=["doc_id", "held_out", "n_tokens", "known", "low", "high", "rare", "times"],
+                )
+
+    return run
+
+
+def _at(values: np.ndarray, index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(float(v)) for v in values]), index + 1)
+
+
+def lm_scores(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, head: int = HEAD) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity``."""
+    docs = whole_texts(docs).withColumn("held_out", id_remainder(F.col("doc_id"), 10) == 0)
+    train = docs.where(~F.col("held_out")).select("text")
+    counts = train.mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = materialize(counts, "words")
+    trained = train.count()
+    words, vocabulary = counts.agg(F.sum("c"), F.count("*")).first()
+    tokens = (words or 0) + trained
+    types = vocabulary + (1 if trained else 0)
+    # The least count whose words fit the head, from a histogram over 1/8 octaves.
+    octave = F.floor(F.log2("c") * 8).cast("int")
+    histogram = counts.groupBy(octave.alias("o")).agg(F.count("*").alias("v"), F.min("c").alias("c")).orderBy(F.desc("o")).collect()
+    least, room = 2**62, head
+    for r in histogram:
+        room -= r["v"]
+        if room < 0:
+            break
+        least = r["c"]
+    top = counts.where(F.col("c") >= least).toArrow()  # at most ``head`` rows
+    order = sorted(zip(top.column("word").to_pylist(), top.column("c").to_pylist()), key=lambda x: (-x[1], x[0]))
+    clustered = min(clustered, len(order))
+    leaders = [w for w, _ in order[:clustered]]
+    size = clustered + ENDINGS + 1
+    found = train.mapInArrow(_pairs(leaders), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most size * size rows
+    pairs = np.zeros(size * size)
+    pairs[found.column("pair").to_numpy()] = found.column("n").to_numpy()
+    of = exchange_classes(pairs.reshape(size, size), clustered, classes)
+    free = int(of[clustered])  # the first ending class
+    n = free + ENDINGS + 1
+    one = np.zeros((size, n))
+    one[np.arange(size), of] = 1
+    table = one.T @ pairs.reshape(size, size) @ one
+    share = (table.sum(0) + 0.5) / (table.sum() + 0.5 * n)
+    step = np.log10((table + PRIOR * share) / (table.sum(1, keepdims=True) + PRIOR))
+    # Tokens, and words seen once, of each ending class.
+    stats = counts.groupBy((F.crc32(F.expr("substring(word, -2, 2)")) % ENDINGS).cast("int").alias("e")).agg(F.sum("c").alias("n"), F.sum((F.col("c") == 1).cast("long")).alias("once")).collect()
+    of_class, once = np.zeros(n), np.zeros(n)
+    for r in stats:
+        of_class[free + r["e"]], once[free + r["e"]] = r["n"], r["once"]
+    for (w, c), k in zip(order[:clustered], of):
+        of_class[free + _ending(w)] -= c
+        once[free + _ending(w)] -= c == 1
+        of_class[k] += c
+    unseen = (once + 1) / (of_class + 2)
+    unseen[:free] = 0
+    kind = np.array([*of[:clustered], *(free + _ending(w) for w, _ in order[clustered:])], dtype=np.int64)
+    c = np.array([c for _, c in order], dtype=float)
+    floor = tokens + 0.1 * (types + 1)
+    model = {
+        "place": {w: i for i, (w, _) in enumerate(order)},
+        "class": kind if len(kind) else np.zeros(1, np.int64),
+        "base": np.log10((c + 0.1) / floor),
+        "emit": np.log10(c / of_class[kind] * (1 - unseen[kind])) if len(c) else c,
+        "step": step,
+        "ending": free,
+        "end": n - 1,
+        "end_known": int(trained > 0),
+        "end_base": float(np.log10((trained + 0.1) / floor)),
+    }
+    scored = docs.select("doc_id", "held_out", "text").mapInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, known long, low double, high double, rare array<binary>, times array<long>")
+    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    tail = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    tail = tail.join(counts.where(F.col("c") < least), "word", "left")
+    e = (F.crc32(F.expr("substring(word, -2, 2)")) % ENDINGS).cast("int")
+    seen = F.col("c").isNotNull()
+    low = F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(float(floor)))
+    endings = slice(free, free + ENDINGS)
+    high = F.when(seen, F.log10(F.col("c") / _at(of_class[endings], e) * (1 - _at(unseen[endings], e)))).otherwise(F.log10(_at(unseen[endings], e)))
+    sums = tail.groupBy("row").agg(F.sum(F.when(seen, F.col("times")).otherwise(0)).alias("more_known"), F.sum(low * F.col("times")).alias("more_low"), F.sum(high * F.col("times")).alias("more_high"))
+    out = scored.drop("rare", "times").join(sums, "row", "left")
+    score = F.col("high") + F.coalesce("more_high", F.lit(0.0))
+    return out.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.lit(int(tokens)).cast("long").alias("train_tokens"),
+        (F.col("low") + F.coalesce("more_low", F.lit(0.0))).alias("base_score"),
+        score.alias("score"),
+        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+    )
