@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, exact_dedup, minhash, mixing, pii, token_output, url_rules
+from . import brown_lm, exact_dedup, minhash, mixing, pii, token_output, toxicity, url_rules
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
     "op3_url_rules": op3_url_rules,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_output": op5_token_output,
