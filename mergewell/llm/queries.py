@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, exact_dedup, minhash, mixing, pii, token_output, toxicity, url_rules
+from . import brown_lm, decontaminate, exact_dedup, minhash, mixing, pii, token_output, toxicity, url_rules
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_token_files(token_output.write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.lm_scores(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_output": op5_token_output,
+    "op6_decontaminate": op6_decontaminate,
     "op7_brown_lm": op7_brown_lm,
     "op8_minhash": op8_minhash,
     "op10_mixing": op10_mixing,
