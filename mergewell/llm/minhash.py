@@ -247,3 +247,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("of")).cast("long")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+#: Dropped ids up to which they are broadcast; a row is one integer.
+BROADCAST_IDS = 200_000
+
+
+def one_of_each_group(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` that represent their group, with all their columns.
+
+    Of rows that share an id, the least by all columns stays.  Rows without an id all stay.
+    """
+    verdict = materialize(near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
+    side = F.broadcast(verdict) if verdict.count() <= BROADCAST_IDS else verdict
+    left = docs.join(side, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    repeated = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again")
+    if repeated.isEmpty():
+        return left
+    again = materialize(repeated, "again")
+    side = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
+    alone = left.join(side, F.col("doc_id") == F.col("_again"), "left_anti")
+    one = left.join(side, F.col("doc_id") == F.col("_again"), "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return alone.unionByName(one.select("row.*"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, decontaminate, exact_dedup, minhash, mixing, pii, token_output, toxicity, url_rules
+from . import brown_lm, decontaminate, exact_dedup, html_extract, minhash, mixing, pii, token_output, toxicity, url_rules
 from .common import table
 
 
@@ -42,6 +42,10 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most two passes over any source, no source short of one pass."""
     return mixing.mixed(table(spark, sf_dir, "documents"), repetition_limit=2.0).select("doc_id", "source", "n_tokens", "weight", "exponent", "copies")
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_brown_lm": op7_brown_lm,
     "op8_minhash": op8_minhash,
+    "op9_html_extract": op9_html_extract,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": exact_dedup.ORACLE}
