@@ -1,11 +1,71 @@
-"""Training-data pipeline over ``documents``."""
+"""Training-data pipeline over ``documents``.
+
+Five stages, each on all that the one before kept: toxic documents go, one document of each group of
+near-duplicates stays, documents with benchmark passages go, sources are mixed to target weights, and
+the rest becomes token files, read back as a row per document.  All but the last return the columns of
+``documents``.  Several stages train or align and can't be said in SQL, so they are tested against
+brute force.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mergewell.llm import decontaminate, minhash, mixing, token_output, toxicity
+from mergewell.llm.common import materialize, table
+
+#: No source is read more often than this, and none less than once.
+REPETITION_LIMIT = 1.25
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under the operator's threshold; every other one goes."""
+    scored = toxicity.with_toxicity(docs, docs, table(spark, sf_dir, "labels"), column="_toxicity")
+    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group stays."""
+    return minhash.one_of_each_group(docs).select(*docs.columns)
+
+
+def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no test item aligns."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, as often as its source's weight asks: nothing is lost, small sources repeat."""
+    mixed = mixing.mixed(docs, repetition_limit=REPETITION_LIMIT)
+    repeated = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.where("copies > 0").select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back."""
+    return token_output.read_token_files(token_output.write_token_files(docs))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", remove_toxic),
+    ("near duplicates", remove_near_duplicates),
+    ("benchmark decontamination", remove_benchmark_leaks),
+    ("source mixing", mix_sources),
+    ("token output", write_tokens),
+]
+
+#: Scores, minima and alignments can't be said in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = materialize(docs, "stage")
     return docs
