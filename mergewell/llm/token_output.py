@@ -36,7 +36,9 @@ from .common import materialize, partitions_for, whole_texts
 END = 1
 SHARD_TOKENS = 4_000_000
 BROADCAST_SHARDS = 500_000
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
+#: A word that the tokenizer gives one id; it parts the words that are encoded together.
+_MARK = "¬"
 _MAGIC = b"WMTX0001"
 _SAMPLE = 4096  # bits between rank samples
 
@@ -200,6 +202,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        marked = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = marked[0] if len(marked) == 1 else None
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._forget()
 
@@ -216,7 +220,7 @@ class Encoder:
         # A full stop or comma after an ASCII letter or digit is a token run of its own.
         stems = [w[:-1] if w[-1:] in b".," and w[-2:-1].isalnum() else w for w in waiting]
         once = {w: i for i, w in enumerate(dict.fromkeys([*stems, b".", b","]))}
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in once], add_special_tokens=False)]
+        ids = self._encode_words([w.decode() for w in once])
         new = [ids[once[s]] + (ids[once[w[-1:]]] if len(s) < len(w) else []) for s, w in zip(stems, waiting)]
         sizes = np.array([len(x) for x in new], dtype=np.int64)
         starts = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -224,6 +228,19 @@ class Encoder:
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
         waiting.clear()
 
+    def _encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word; words go to the tokenizer in long texts, parted by the mark."""
+        plain = [w for w in words if _MARK not in w and "<|" not in w] if self.mark is not None else []
+        found: dict[str, list[int]] = {}
+        for i in range(0, len(plain), 2000):
+            part = plain[i : i + 2000]
+            row, at = self.tokenizer.encode(f" {_MARK} ".join(part) + f" {_MARK}", add_special_tokens=False).ids, 0
+            for w in part:
+                end = row.index(self.mark, at)
+                found[w] = row[at:end]
+                at = end + 1
+        return [found[w] if w in found else self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and how many each text has."""
         if len(self.words) > REMEMBERED:
