@@ -38,7 +38,7 @@ SHARD_TOKENS = 4_000_000
 BROADCAST_SHARDS = 500_000
 REMEMBERED = 1_200_000
 #: A word that the tokenizer gives one id; it parts the words that are encoded together.
-_MARK = "¬"
+_MARK = "~"
 _MAGIC = b"WMTX0001"
 _SAMPLE = 4096  # bits between rank samples
 
