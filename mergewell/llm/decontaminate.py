@@ -214,9 +214,9 @@ def _side(hits: DataFrame) -> DataFrame:
     return F.broadcast(hits) if hits.count() <= BROADCAST_HITS else hits
 
 
-def decontamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def decontamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, contaminated, item_id, score, n_items``, a row per row of ``docs``."""
-    hits = _side(contaminated(docs, benchmark, threshold)).alias("h")
+    hits = _side(contaminated(docs, benchmark, threshold, block_words)).alias("h")
     all_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key")).alias("d")
     out = all_docs.join(hits, F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.key") == F.col("h.key")), "left")
     return out.select("d.doc_id", F.col("h.key").isNotNull().alias("contaminated"), "item_id", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))

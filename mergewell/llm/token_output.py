@@ -265,11 +265,16 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def encoder_for(path: str) -> Encoder:
+    """The worker's encoder; a function of the module, so that tasks of a worker share what it remembers."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _pack(path: str, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _encoders:
-            _encoders[path] = Encoder(path)
-        encoder = _encoders[path]
+        encoder = encoder_for(path)
         part = TaskContext.get().partitionId()
         held: list[np.ndarray] = []
         ids: list[int | None] = []
