@@ -34,10 +34,8 @@ def lcs_length(a: str, b: str) -> int:
 
 
 def _codes(strings: list[str], width: int) -> np.ndarray:
-    out = np.zeros((len(strings), width), np.uint32)
-    for i, s in enumerate(strings):
-        out[i, : len(s)] = np.frombuffer(s.encode("utf-32-le"), np.uint32)
-    return out
+    """Code points in rows, zeros behind."""
+    return np.frombuffer("".join([s.ljust(width, "\0") for s in strings]).encode("utf-32-le"), np.uint32).reshape(len(strings), width)
 
 
 def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
@@ -130,9 +128,8 @@ def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
 
 
 def composite(a: list[str], b: list[str], weights: tuple[float, float, float, float], floor: float = 0.0) -> pd.DataFrame:
-    """Columns ``tsr, tse, rat, par, score``; a score that can't reach ``floor`` is 0 and its ``par`` null."""
+    """Columns ``tsr, tse, rat, par, score``; a score that can't reach ``floor`` is 0, and what is not needed for that null."""
     tsr = ratios([token_sort(x) for x in a], [token_sort(x) for x in b])
-    tse = token_set_ratios(a, b)
     rat = ratios(a, b)
     wa, wb, wc, wd = weights
     some = np.array([bool(x) and bool(y) for x, y in zip(a, b)], dtype=bool)
@@ -140,10 +137,13 @@ def composite(a: list[str], b: list[str], weights: tuple[float, float, float, fl
     short = np.array([min(len(x), len(y)) for x, y in zip(a, b)])
     common = np.round(rat * np.array([len(x) + len(y) for x, y in zip(a, b)]) / 2)
     most = 2 * common / np.maximum(1, short + common)
-    live = np.flatnonzero(some & (wa * tsr + wb * tse + wc * rat + wd * most >= floor - 1e-9))
+    near = np.flatnonzero(some & (wa * tsr + wb + wc * rat + wd * most >= floor - 1e-9))
+    tse = np.full(len(a), np.nan)
+    tse[near] = token_set_ratios([a[i] for i in near], [b[i] for i in near])
+    live = near[wa * tsr[near] + wb * tse[near] + wc * rat[near] + wd * most[near] >= floor - 1e-9]
     par = np.full(len(a), np.nan)
     par[live] = partial_ratios([a[i] for i in live], [b[i] for i in live])
-    score = np.where(np.isnan(par), 0.0, wa * tsr + wb * tse + wc * rat + wd * np.nan_to_num(par))
+    score = np.where(np.isnan(par), 0.0, wa * tsr + wb * np.nan_to_num(tse) + wc * rat + wd * np.nan_to_num(par))
     return pd.DataFrame({"tsr": tsr, "tse": tse, "rat": rat, "par": par, "score": score})
 
 

@@ -80,4 +80,6 @@ def candidate_pairs(members: DataFrame, profile: Profile, prune: bool = True) ->
         short, long = F.least(F.char_length("a"), F.char_length("b")), F.greatest(F.char_length("a"), F.char_length("b"))
         pairs = pairs.where(short >= long * F.lit(least_length_share(profile)))
     pairs = pairs.select("a", "b", "a_low", "b_low", (F.col("a_low") < F.col("b_high")).alias("ab"), (F.col("b_low") < F.col("a_high")).alias("ba"))
-    return pairs.distinct()
+    # Dealt by pair into all shuffle partitions, since scoring costs far more than its bytes suggest.
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(parts, "a", "b").distinct()
