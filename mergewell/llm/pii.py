@@ -46,6 +46,7 @@ _SPELT_EMAIL = re.compile(
     r"[A-Za-z0-9._%+-]{1,64}\s?[\[({]\s?at\s?[\])}]\s?[A-Za-z0-9-]{1,63}(?:(?:\s?[\[({]\s?dot\s?[\])}]\s?|\.)[A-Za-z0-9-]{1,63}){1,8}", re.I
 )
 _NUMBER = re.compile(r"\(?[0-9][0-9\x20().-]{5,30}[0-9]")
+_RUN = re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])")
 _IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
 
 #: Cue words before a span and the class they speak for.
@@ -99,23 +100,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Looser ``(start, proposed kind, end)`` spans that touch no base span and no earlier candidate."""
-    found = []
+    found, first = [], []
     if _SPELT_AT.search(text):
         found += [(m.start(), 0, m.end()) for m in _SPELT_EMAIL.finditer(text)]
     if _DIGIT.search(text):
         if text.count(":") >= 7:
             found += [(m.start(), 1, m.end()) for m in _IPV6.finditer(text)]
+        # Numbers that a space joins to another make one failing base match; each may be a card.
+        first = [(m.start(), 2, m.end()) for m in _RUN.finditer(text) if luhn(m[0])]
         for m in _NUMBER.finditer(text):
             n = sum("0" <= c <= "9" for c in m[0])
             if n >= 7:
                 found.append((m.start(), 2 if n >= 13 else 3, m.end()))
     taken = sorted((s, e) for s, _, e in base)
     out = []
-    for s, k, e in sorted(found, key=lambda x: (x[0], -x[2], x[1])):
+    for s, k, e in [*first, *sorted(found, key=lambda x: (x[0], -x[2], x[1]))]:
         if all(e <= a or s >= b for a, b in taken):
             taken.append((s, e))
             out.append((s, k, e))
-    return out
+    return sorted(out)
 
 
 LABELERS = 6
@@ -139,7 +142,7 @@ def pattern(text: str, s: int, k: int, e: int, is_base: bool) -> str:
         votes[0] = str(k)
     elif k == 3 and (groups >= 3 or span.startswith(("(", "00"))) and 9 <= len(digits) <= 13:
         votes[0] = "3"
-    elif k == 2 and groups == 4 and len(digits) == 16:
+    elif k == 2 and (groups == 4 and len(digits) == 16 or groups == 1 and luhn(digits)):
         votes[0] = "2"
     if k >= 2 and len(digits) >= 12:
         votes[1] = "2" if luhn(digits) and len(digits) <= 19 else str(NONE)
@@ -150,7 +153,7 @@ def pattern(text: str, s: int, k: int, e: int, is_base: bool) -> str:
         votes[3] = str(NONE)
     if not is_base and _DATE.match(span):
         votes[4] = str(NONE)
-    if not is_base and k >= 2 and groups == 1:
+    if not is_base and k >= 2 and groups == 1 and votes[0] == "-":
         votes[5] = str(NONE)
     seps = "".join(sorted({c for c in span if not c.isalnum() and c in "-.( "}))[:2] or "_"
     side = ("a" if left.isalnum() else "s" if left.isspace() or not left else "p") + ("a" if right.isalnum() else "s" if right.isspace() or not right else "p")
