@@ -95,6 +95,13 @@ def test_pii(docs, empty):
     assert pii.pii_spans(empty).count() == 0
 
 
+def test_joined_cards_are_added(spark):
+    two = "pay 4111111111111111 5500005555555559 now"
+    rows = [(i, two) for i in range(30)] + [(100 + i, f"card 4111111111111111 and 1234567 units {i}") for i in range(30)]
+    got = pii.pii_spans(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 0").first()
+    assert got["n_card"] == 0 and got["spans"] == "card:4:20,card:21:37" and got["n_added"] == 2
+
+
 def test_long_digit_runs_are_linear():
     assert pii.base_spans("1" * 200_000) == []
 
