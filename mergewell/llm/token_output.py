@@ -6,7 +6,7 @@ ids and lengths of its documents.  From that file alone, tokens can be read at a
 and looked up (:class:`WaveletMatrix`), or all of them read back.
 
 The tokenizer drops white space and treats each run between it alone, so words are encoded once and
-remembered; a bound on the memory only makes a worker encode a word again.
+remembered; beyond the bound on the memory a worker encodes a word again.
 
 Scale: one shuffle of the texts (the sort), then one pass; a worker holds one shard.  Files are the
 rows of a table in shared storage, so any file system that Spark can write will do and a lost
@@ -23,6 +23,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ from .common import materialize, partitions_for, whole_texts
 END = 1
 SHARD_TOKENS = 4_000_000
 BROADCAST_SHARDS = 500_000
-REMEMBERED = 1_200_000
+#: Words that a worker remembers: the first ones it meets, among which are the frequent ones.
+REMEMBERED = 400_000
 #: A word that the tokenizer gives one id; it parts the words that are encoded together.
 _MARK = "~"
 _MAGIC = b"WMTX0001"
@@ -205,9 +207,6 @@ class Encoder:
         marked = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = marked[0] if len(marked) == 1 else None
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self._forget()
-
-    def _forget(self) -> None:
         self.words = _Words()
         self.flat = np.array([END], dtype=self.kind)
         self.starts = np.zeros(1, np.int64)
@@ -228,6 +227,15 @@ class Encoder:
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
         waiting.clear()
 
+    def _trim(self) -> None:
+        """Drops the words beyond the bound; numbers are given in order, so these are the latest."""
+        if len(self.words) > REMEMBERED:
+            for w in list(islice(reversed(self.words), len(self.words) - REMEMBERED)):
+                del self.words[w]
+            self.words.next = keep = REMEMBERED + 1
+            self.starts, self.sizes = self.starts[:keep], self.sizes[:keep]
+            self.flat = self.flat[: int(self.starts[-1] + self.sizes[-1])]
+
     def _encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word; words go to the tokenizer in long texts, parted by the mark."""
         plain = [w for w in words if _MARK not in w and "<|" not in w] if self.mark is not None else []
@@ -243,8 +251,6 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and how many each text has."""
-        if len(self.words) > REMEMBERED:
-            self._forget()
         numbers: list[int] = []
         ends = []
         number = self.words.__getitem__
@@ -259,6 +265,7 @@ class Encoder:
         upto = np.cumsum(size)
         total = int(upto[-1]) if len(upto) else 0
         out = self.flat[np.repeat(self.starts[at] - (upto - size), size) + np.arange(total)]
+        self._trim()
         return out, np.diff(np.concatenate([[0], upto[np.array(ends, dtype=np.int64) - 1]])) if ends else np.zeros(0, np.int64)
 
 
