@@ -32,7 +32,7 @@ SHORT = 8
 BLOCK_WORDS = 300_000
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Rows of a hit table up to which it is broadcast; a row is an id and a hash.
 BROADCAST_HITS = 200_000
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())

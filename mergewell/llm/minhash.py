@@ -42,7 +42,7 @@ LONG_LIST = 256
 CHUNK = 1024
 CHUNK_SHINGLES = 2_000_000
 #: Words whose hashes a worker remembers; others are hashed each time.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _words: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)

@@ -40,7 +40,7 @@ DISCOUNT = 0.75
 #: Least likelihood-ratio statistic for a difference between the classes; below it, both use shared counts.
 ASSURED = 14.0
 THRESHOLD = 0.3
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
