@@ -38,7 +38,7 @@ END = 1
 SHARD_TOKENS = 4_000_000
 BROADCAST_SHARDS = 500_000
 #: Words that a worker remembers: the first ones it meets, among which are the frequent ones.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: A word that the tokenizer gives one id; it parts the words that are encoded together.
 _MARK = "~"
 _MAGIC = b"WMTX0001"
