@@ -8,6 +8,7 @@ from mergewell.operators.components import connected_components
 from mergewell.plans import analytics as A
 from mergewell.plans import pipelines as L
 from mergewell.plans import profiles as P
+from mergewell.plans import queries as Q
 from mergewell.sources import masters as S
 from mergewell.sources import sinks
 
@@ -42,6 +43,14 @@ def test_components_of_a_chain(spark):
     assert {r["component"] for r in connected_components(df).collect()} == {0}
 
 
+def test_components_of_all_lines(spark, tmp_path):
+    rng = random.Random(5)
+    lines = [(rng.randrange(1, 60_000), rng.randrange(1, 900)) for _ in range(500)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r["id"]: r["component"] for r in Q.QUERIES["connected_components"](spark, str(tmp_path)).collect()}
+    assert max(o for o, _ in lines) >= 2000 and got == brute_components([(o, p + 1_000_000) for o, p in lines])
+
+
 @pytest.mark.parametrize("name", ["aggressive", "ultra", "improved", "balanced"])
 def test_result_invariants(spark, sf, name):
     profile = P.PROFILES[name]
