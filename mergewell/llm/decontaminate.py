@@ -1,14 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: exact bounds on words, then Smith-Waterman alignment.
 
-Word trigrams of the test items are counted over all documents, and each item keeps the rarer half of
-its own as seeds, so an item whose passage is everywhere still has seeds.  A document's passages around seed
-hits are aligned with the item by words (Smith-Waterman with linear gaps); the score is the best local
-alignment over the item's length, so edited and paraphrased copies score as much as they share.
+A document and an item are aligned by words (Smith-Waterman with linear gaps); the score is the best local
+alignment over the item's length, so edited and paraphrased copies score as much as they share.  No seeds choose
+the pairs: a pair is passed over only where one of two bounds shows that its score can't reach the threshold.
+The score is at most the words that both have, counted with repeats; and at most the best stretch of the
+document, each of its words counting as a match if the item has it anywhere, else as the least loss.
 
-Scale: a document is read where it lies, twice: to count trigrams, and to align.  Items go to the
-workers in blocks of about ``BLOCK_WORDS`` words, one block after another, so neither side's size is
-assumed; texts are never shuffled.  What leaves a worker is a row per trigram, then a row per
-matching document.  Nothing is capped: a passage that a third of all documents share is that many rows.
+Scale: a document is read once, where it lies.  Items go to the workers in blocks of about ``BLOCK_WORDS``
+words, one block after another, so neither side's size is assumed; texts are never shuffled.  What leaves a
+worker is a row per matching document.  Nothing is capped: a passage that a third of all documents share is
+that many rows.
 
 Defined results: a null text is empty and never contaminated; items with fewer than three words match
 nothing; items of up to ``SHORT`` words must be matched in whole; repeated items count each, the
@@ -27,12 +28,14 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-SEED_WORDS = 3
+LEAST_WORDS = 3
 SHORT = 8
 BLOCK_WORDS = 300_000
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 REMEMBERED = 100_000
+#: Places of a document times items whose bounds are computed at once.
+CELLS = 1_000_000
 #: Rows of a hit table up to which it is broadcast; a row is an id and a hash.
 BROADCAST_HITS = 200_000
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -57,24 +60,26 @@ class _Numbers(dict):
 
 
 class Items:
-    """A block of test items as numbers, with the trigrams of each."""
+    """A block of test items as numbers; each word is posted with the items that hold it, and how often."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         self.vocabulary: dict[str, int] = {}
         self.ids, self.words = [], []
         for item, text in rows:
             w = [b for b in map(bare, text.encode().split()) if b]
-            if len(w) >= SEED_WORDS:
+            if len(w) >= LEAST_WORDS:
                 self.ids.append(item)
                 self.words.append(np.array([self.vocabulary.setdefault(x, len(self.vocabulary)) for x in w], dtype=np.int64))
-        self.size = len(self.vocabulary) + 1
-        self.grams = [np.unique(self.codes(w)[0]) for w in self.words]
+        self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
+        n = max(1, len(self.words))
+        owners = np.repeat(np.arange(len(self.words)), self.lengths)
+        pairs, self.times = np.unique(np.concatenate([np.zeros(0, np.int64), *self.words]) * n + owners, return_counts=True)
+        self.posted = pairs % n
+        self.starts = np.searchsorted(pairs // n, np.arange(len(self.vocabulary) + 1))
 
-    def codes(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the trigrams inside the vocabulary, and their places; a code is exact below 2**21 words."""
-        a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
-        at = np.flatnonzero((a >= 0) & (b >= 0) & (c >= 0))
-        return (a[at] * self.size + b[at]) * self.size + c[at], at
+    def needed(self, threshold: float) -> np.ndarray:
+        """Score from which each item counts as held."""
+        return np.where(self.lengths <= SHORT, self.lengths, threshold * self.lengths) - 1e-9
 
 
 def numbered(text: bytes, numbers: _Numbers) -> np.ndarray:
@@ -98,73 +103,48 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
-def _count(items: Items):
-    known = np.unique(np.concatenate(items.grams)) if items.grams else np.zeros(0, np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = _Numbers(items.vocabulary)
-        total = np.zeros(len(known), np.int64)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                for t in batch.column(0).slice(i, 500).cast(pa.binary()).to_pylist():
-                    code = items.codes(numbered(t, numbers))[0]
-                    if len(code) and len(known):
-                        at = np.searchsorted(known, code)
-                        at[at == len(known)] = 0
-                        total[np.unique(at[known[at] == code])] += 1
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(known[seen], pa.int64()), "df": pa.array(total[seen], pa.int64())})
-
-    return run
-
-
-def seeds_of(items: Items, df: dict[int, int]) -> list[np.ndarray]:
-    """The rarer half of each item's trigrams, by the number of documents, then by code."""
-    return [np.sort(g[np.lexsort((g, [df.get(int(x), 0) for x in g]))][: (len(g) + 1) // 2]) for g in items.grams]
-
-
-def matches(numbers: np.ndarray, items: Items, posted: dict[int, list[int]], seeds: list[np.ndarray], known: np.ndarray, threshold: float) -> list[tuple[int, float, int]]:
+def within_reach(numbers: np.ndarray, items: Items, needed: np.ndarray) -> np.ndarray:
+    """Items whose score in a document may be ``needed``; every other item's is surely less."""
+    inside = np.flatnonzero(numbers >= 0)
+    words, local, held = np.unique(numbers[inside], return_inverse=True, return_counts=True)
+    sizes = items.starts[words + 1] - items.starts[words]
+    word = np.repeat(np.arange(len(words)), sizes)
+    at = np.arange(len(word)) + np.repeat(items.starts[words] - np.cumsum(sizes) + sizes, sizes)
+    item = items.posted[at]
+    common = np.bincount(item, weights=np.minimum(items.times[at], held[word]), minlength=len(items.ids))
+    near = np.flatnonzero((common > 0) & (MATCH * common >= needed))
+    if not len(near):
+        return near
+    place = np.full(len(numbers), len(words))
+    place[inside] = local
+    rank = np.full(len(items.ids), -1)
+    rank[near] = np.arange(len(near))
+    known = rank[item] >= 0
+    row, word = rank[item[known]], word[known]
+    order = np.argsort(row, kind="stable")
+    row, word = row[order], word[order]
+    best, rows = np.zeros(len(near)), max(1, CELLS // len(numbers))
+    for i in range(0, len(near), rows):
+        a, b = np.searchsorted(row, (i, i + rows))
+        gain = np.full((min(rows, len(near) - i), len(words) + 1), max(MISMATCH, GAP), dtype=np.float32)
+        gain[row[a:b] - i, word[a:b]] = MATCH
+        total = gain[:, place].cumsum(axis=1, dtype=np.float64)
+        best[i : i + rows] = (total - np.minimum(np.minimum.accumulate(total, axis=1), 0.0)).max(axis=1)
+    return near[best >= needed[near]]
+
+
+def matches(numbers: np.ndarray, items: Items, needed: np.ndarray) -> list[tuple[int, float, int]]:
     """``(item id, score, end)`` of the items that a document holds."""
-    code, place = items.codes(numbers)
-    if not len(code) or not len(known):
-        return []
-    at = np.minimum(np.searchsorted(known, code), len(known) - 1)
-    hit = known[at] == code
-    by_item: dict[int, list[tuple[int, int]]] = {}
-    for c, p in zip(code[hit].tolist(), place[hit].tolist()):
-        for k in posted[c]:
-            by_item.setdefault(k, []).append((p, c))
     out = []
-    for k, hits in by_item.items():
-        item = items.words[k]
-        m = len(item)
-        enough = max(1, -(-len(seeds[k]) // 10))
-        # Passages: runs of hits with no gap of more than the item's length between them.
-        runs: list[list[tuple[int, int]]] = []
-        for p, c in hits:
-            if runs and p - runs[-1][-1][0] <= m:
-                runs[-1].append((p, c))
-            else:
-                runs.append([(p, c)])
-        best, end = 0.0, 0
-        for r in runs:
-            if len({c for _, c in r}) >= enough:
-                start = max(0, r[0][0] - m)
-                score, j = align(item, numbers[start : r[-1][0] + m + SEED_WORDS])
-                if score > best:
-                    best, end = score, start + j
-        share = best / m
-        if share >= (1.0 if m <= SHORT else threshold):
-            out.append((items.ids[k], share, end))
+    for k in within_reach(numbers, items, needed).tolist():
+        best, end = align(items.words[k], numbers)
+        if best >= needed[k]:
+            out.append((items.ids[k], best / len(items.words[k]), end))
     return out
 
 
-def _align_all(items: Items, seeds: list[np.ndarray], threshold: float):
-    posted: dict[int, list[int]] = {}
-    for k, s in enumerate(seeds):
-        for c in s.tolist():
-            posted.setdefault(c, []).append(k)
-    known = np.array(sorted(posted), dtype=np.int64)
+def _align_all(items: Items, threshold: float):
+    needed = items.needed(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = _Numbers(items.vocabulary)
@@ -173,7 +153,7 @@ def _align_all(items: Items, seeds: list[np.ndarray], threshold: float):
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
                 for doc, key, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).cast(pa.binary()).to_pylist()):
-                    found = matches(numbered(t, numbers), items, posted, seeds, known, threshold)
+                    found = matches(numbered(t, numbers), items, needed)
                     if found:
                         item, score, end = min(found, key=lambda x: (-x[1], x[0]))
                         rows.append((doc, key, item, score, end, len(found)))
@@ -199,8 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         block = Items([(r[0], r[1]) for r in rows])
         if not block.ids:
             continue
-        df = {r[0]: r[1] for r in docs.select("text").mapInArrow(_count(block), "gram long, df long").groupBy("gram").agg(F.sum("df")).collect()}  # the block's trigrams
-        found = docs.mapInArrow(_align_all(block, seeds_of(block, df), threshold), "doc_id long, key long, item_id long, score double, end long, n_items long")
+        found = docs.mapInArrow(_align_all(block, threshold), "doc_id long, key long, item_id long, score double, end long, n_items long")
         hits = found if hits is None else hits.unionAll(found)
     if hits is None:
         hits = docs.sparkSession.createDataFrame([], "doc_id long, key long, item_id long, score double, end long, n_items long")

@@ -260,6 +260,31 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.decontamination(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_is_every_pair_that_aligns(spark):
+    rng = np.random.default_rng(61)
+    common = [f"c{i}" for i in range(12)]
+    draw = lambda n: [str(rng.choice(common if rng.random() < 0.3 else WORDS)) + ("" if rng.random() < 0.5 else f"x{rng.integers(0, 40)}") for _ in range(n)]
+    items = [draw(n) for n in (30, 40, 60, 100, 17, 8, 5)]
+    texts = []
+    for item in items:
+        for share in (0, 0.15, 0.2, 0.25, 0.3, 0.33):
+            for _ in range(4):
+                texts.append(draw(20) + [f"new{rng.integers(0, 99)}" if rng.random() < share else w for w in item] + draw(20))
+        half = len(item) // 2
+        texts += [item[:half] + draw(50), draw(50) + item[-half:], [w for i, w in enumerate(item) if i % 3], [x for i, w in enumerate(item) for x in ((w, "new") if i % 2 else (w,))]]
+    texts += [draw(300) for _ in range(5)] + [draw(2)]
+    want = {}
+    for i, t in enumerate(texts):
+        found = [(slow_align(item, t) / len(item), k) for k, item in enumerate(items)]
+        found = [(s, -k) for s, k in found if s >= (1 if len(items[k]) <= 8 else 0.5)]
+        if found:
+            want[i] = (max(found)[0], -max(found)[1], len(found))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    got = {r["doc_id"]: (pytest.approx(r["score"]), r["item_id"], r["n_items"]) for r in decontaminate.decontamination(docs, bench).collect() if r["contaminated"]}
+    assert len(want) > 100 and got == want
+
+
 # --- language model ---
 
 
