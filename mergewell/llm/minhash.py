@@ -1,14 +1,14 @@
 """Near-duplicates by a signature-coordinate inverted join.
 
 Every document's set of five-word shingles gets a signature of 64 minima.  Documents are posted
-under each coordinate-value pair.  Two documents that agree on at least ``MATCHES`` coordinates
-share one of the ``64 - MATCHES + 1`` rarest postings of either, so only that prefix is merged, and
-a document with fewer than ``MATCHES`` shared postings is skipped.  Inside a posting list, agreeing
+under each coordinate-value pair.  Two documents that agree on at least ``matches`` coordinates
+share one of the ``64 - matches + 1`` rarest postings of either, so only that prefix is merged, and
+a document with fewer than ``matches`` shared postings is skipped.  Inside a posting list, agreeing
 coordinates are counted; pairs at the threshold join candidate clusters.  Links are then confirmed on
 the full sets inside each cluster and connected into components.
 
-At similarity 0.85 a pair agrees on 54.4 of 64 coordinates on average; it falls below 40 with a
-probability of about 2e-6.
+``matches`` follows the wanted similarity: a pair at that similarity falls below it with a probability
+of at most ``MISSED``.  That makes 40 of 64 at 0.85 and 35 at 0.80.
 
 Scale: documents with equal sets are one node from the start, so exact copies are never paired.  A
 list of over ``LONG_LIST`` nodes is not merged but hung on its least node, which only makes a
@@ -24,6 +24,7 @@ with the links of all its texts; a row without an id links to nothing, has no co
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,8 @@ from .common import drop_materialized, materialize, whole_texts
 
 WORDS = 5
 COORDINATES = 64
-MATCHES = 40
+#: Chance that a pair at the wanted similarity is no candidate.
+MISSED = 2.5e-6
 LONG_LIST = 256
 CHUNK = 1024
 CHUNK_SHINGLES = 2_000_000
@@ -48,6 +50,17 @@ _words: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def matches_for(percent: int) -> int:
+    """The most agreeing coordinates that a pair at ``percent`` misses with a chance of at most ``MISSED``."""
+    p, below, k = percent / 100, 0.0, 0
+    while k < COORDINATES:
+        below += math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if below > MISSED:
+            break
+        k += 1
+    return max(k, 1)
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     known = _words.get
     out = []
@@ -111,44 +124,48 @@ def _rooted(parent: dict, x):
     return x
 
 
-def _merge_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge_lists(matches: int):
     """Rows ``(token, node, sketch)`` sorted by token: edges between nodes that agree often enough.
 
     A sketch holds a byte of each coordinate, so its agreements are never fewer than the real ones.
     """
-    parent: dict[int, int] = {}
-    edges: list[tuple[int, int]] = []
-    held: tuple[int | None, list[int], list[bytes]] = (None, [], [])
-
-    def close(nodes: list[int], sketches: list[bytes]) -> None:
-        if len(nodes) < 2:
-            return
-        m = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(nodes), COORDINATES)
-        for i in range(1, len(nodes)):
-            for j in np.flatnonzero((m[:i] == m[i]).sum(axis=1) >= MATCHES):
-                a, b = _rooted(parent, nodes[i]), _rooted(parent, nodes[j])
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    edges.append((nodes[i], nodes[j]))
-
-    def flush() -> pa.RecordBatch:
-        a, b = [x for x, _ in edges], [y for _, y in edges]
-        edges.clear()
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["id_a", "id_b"])
-
-    token, nodes, sketches = held
-    for batch in batches:
-        for t, n, s in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if t != token:
-                close(nodes, sketches)
-                token, nodes, sketches = t, [], []
-            nodes.append(n)
-            sketches.append(s)
-        if len(parent) > 1_000_000:  # forgetting only repeats an edge
-            parent.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+        edges: list[tuple[int, int]] = []
+        held: tuple[int | None, list[int], list[bytes]] = (None, [], [])
+
+        def close(nodes: list[int], sketches: list[bytes]) -> None:
+            if len(nodes) < 2:
+                return
+            m = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(nodes), COORDINATES)
+            for i in range(1, len(nodes)):
+                for j in np.flatnonzero((m[:i] == m[i]).sum(axis=1) >= matches):
+                    a, b = _rooted(parent, nodes[i]), _rooted(parent, nodes[j])
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        edges.append((nodes[i], nodes[j]))
+
+        def flush() -> pa.RecordBatch:
+            a, b = [x for x, _ in edges], [y for _, y in edges]
+            edges.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["id_a", "id_b"])
+
+        token, nodes, sketches = held
+        for batch in batches:
+            for t, n, s in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if t != token:
+                    close(nodes, sketches)
+                    token, nodes, sketches = t, [], []
+                nodes.append(n)
+                sketches.append(s)
+            if len(parent) > 1_000_000:  # forgetting only repeats an edge
+                parent.clear()
+            yield flush()
+        close(nodes, sketches)
         yield flush()
-    close(nodes, sketches)
-    yield flush()
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,17 +223,17 @@ def _sketch(sig: Column) -> Column:
     return F.unhex(F.array_join(F.transform(sig, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(255))), 2, "0")), ""))
 
 
-def candidate_edges(nodes: DataFrame, label: str = "posts") -> DataFrame:
-    """Edges that connect every pair of nodes with ``MATCHES`` agreeing coordinates."""
+def candidate_edges(nodes: DataFrame, matches: int, label: str = "posts") -> DataFrame:
+    """Edges that connect every pair of nodes with ``matches`` agreeing coordinates."""
     token = F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     posts = nodes.select("node", F.posexplode("sig").alias("coordinate", "value")).select("node", token.alias("token"))
     lists = posts.groupBy("token").agg(F.count("*").alias("df"), F.min("node").alias("hub")).where("df > 1")
     shared = posts.join(lists, "token").groupBy("node").agg(F.collect_list(F.struct("df", "token", "hub")).alias("posted"))
-    spare = COORDINATES - MATCHES + 1 - (COORDINATES - F.size("posted"))
+    spare = COORDINATES - matches + 1 - (COORDINATES - F.size("posted"))
     prefix = F.slice(F.array_sort("posted"), 1, F.greatest(spare, F.lit(0)))
     prefixes = materialize(shared.where(spare > 0).select("node", F.explode(prefix).alias("p")).select("node", "p.*"), label)
     merged = prefixes.where(F.col("df") <= LONG_LIST).join(nodes.select("node", _sketch(F.col("sig")).alias("sketch")), "node").select("token", "node", "sketch")
-    merged = merged.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_merge_lists, "id_a long, id_b long")
+    merged = merged.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_merge_lists(matches), "id_a long, id_b long")
     hung = prefixes.where((F.col("df") > LONG_LIST) & (F.col("node") != F.col("hub"))).select(F.col("node").alias("id_a"), F.col("hub").alias("id_b"))
     return merged.unionAll(hung).distinct()
 
@@ -227,7 +244,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     signed = materialize(docs.mapInArrow(_sign, "doc_id long, n long, fp binary, sig array<int>"), "signed")
     live = signed.where("n > 0 and doc_id is not null")
     nodes = materialize(live.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "nodes")
-    wide = materialize(candidate_edges(nodes), "candidates")
+    wide = materialize(candidate_edges(nodes, matches_for(percent)), "candidates")
     clusters = materialize(connected_components(wide).select(F.col("component").alias("cluster"), F.col("id").alias("node")), "clusters")
     sets = materialize(clusters.join(docs.withColumnRenamed("doc_id", "node"), "node").select("cluster", "node", "text").mapInArrow(_sets, "cluster long, node long, n long, shingles binary"), "sets")
     sizes = sets.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("chunks"))

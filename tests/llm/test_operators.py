@@ -381,6 +381,30 @@ def test_near_duplicates_of_a_large_group(spark, monkeypatch):
     check_near(spark, rows)
 
 
+def test_matches_follow_the_similarity():
+    def below(k, p):
+        return sum(math.comb(64, i) * p**i * (1 - p) ** (64 - i) for i in range(k))
+
+    for percent in (50, 70, 80, 85, 95):
+        k = minhash.matches_for(percent)
+        assert below(k, percent / 100) <= minhash.MISSED < below(k + 1, percent / 100)
+    assert minhash.matches_for(85) == 40
+
+
+@pytest.mark.parametrize("percent", [50, 80])
+def test_near_duplicates_at_other_similarities(spark, percent):
+    """Pairs of a text and its beginning, on both sides of the similarity."""
+    rows = []
+    for k in range(60):
+        words = sentence(900 + k, 84).split()
+        tail = [f"t{k}x{j}" for j in range(k * 2)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + tail))]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent).collect()
+    want = brute_near(rows, percent)
+    assert len(set(want.values())) < len(set(brute_near(rows).values()))
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 # --- pages ---
 
 
