@@ -1,18 +1,21 @@
 """URL filter by association rules, with DataFrame functions only.
 
 Listed rules (host and path prefix) judge the urls they fit.  Their verdicts are the labels from
-which FP-growth mines token combinations: a transaction is a url's token set, with one more item
-where a rule blocks it, so a url that no rule judges counts against a combination.  Combinations
-that imply blocking with enough support and confidence, and that no shorter rule covers, judge the
-remaining urls through an inverted index: each rule is posted under one token and checked whole.
+which FP-growth mines token combinations: a transaction is a judged url's token set, with its verdict
+as one more item.  The confidence of a combination is taken as if both verdicts were equally common, so
+it is above one half only where the combination shifts the base rate.  Combinations that imply a verdict
+with enough support and confidence, and that no shorter rule covers, judge the remaining urls through an
+inverted index: each rule is posted under one token and checked whole.  The surer verdict holds; a url
+that no combination fits, or both verdicts equally, is allowed.
 
 Scale: urls are reduced to token sets and pre-aggregated before any join, so a hot host is one row
 per distinct set; the item counts that FP-growth sends to the driver are bounded by tokens per url
 over the support.  No text is read.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule fits it and
-the method allows it unless its (empty) token set is blocked, which cannot be; repeated rows each
-give a row; an empty table gives an empty result; other columns are ignored.
+the method allows it, as no combination fits an empty token set; where the listed rules give one verdict
+only, there is nothing to tell apart and the method allows every url; repeated rows each give a row; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLOCKED = "verdict=block"
+VERDICT = "verdict="
 #: A combination needs this many urls, whatever the relative support.
 LEAST_URLS = 20
 
@@ -75,32 +78,38 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
 
 
 def mine_rules(sets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
-    """``(rule_id, items, anchor, confidence)`` from transactions ``items`` with the label item inside."""
-    empty = sets.sparkSession.createDataFrame([], "rule_id long, items array<string>, anchor string, confidence double")
-    if sets.where(F.array_contains("items", BLOCKED)).isEmpty():
+    """``(rule_id, items, anchor, implies, confidence)`` from judged token sets ``(tokens, verdict)``."""
+    empty = sets.sparkSession.createDataFrame([], "rule_id long, items array<string>, anchor string, implies string, confidence double")
+    judged = {r["verdict"]: r["count"] for r in sets.groupBy("verdict").count().collect()}  # two rows
+    if len(judged) < 2:
         return empty
-    least = max(min_support, min(1.0, LEAST_URLS / sets.count()))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(sets)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCKED))).select(F.array_sort("antecedent").alias("items"), "confidence")
-    rules = materialize(rules.withColumn("anchor", F.col("items")[0]).withColumn("rule_id", F.xxhash64("items")), "urlrules")
+    total = sum(judged.values())
+    share = F.when(F.col("implies") == "block", judged["block"] / total).otherwise(judged["allow"] / total)
+    # The least plain confidence that either verdict's base rate asks for.
+    plain = min(min_confidence * n / (min_confidence * n + (1 - min_confidence) * (total - n)) for n in judged.values())
+    least = max(min_support, min(1.0, LEAST_URLS / total))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=max(0.0, plain - 1e-9)).fit(sets.select(F.concat("tokens", F.array(F.concat(F.lit(VERDICT), "verdict"))).alias("items")))
+    rules = model.associationRules.where(F.col("consequent")[0].startswith(VERDICT)).select(F.array_sort("antecedent").alias("items"), F.expr(f"substring(consequent[0], {len(VERDICT) + 1})").alias("implies"), F.col("confidence").alias("plain"))
+    held, other = F.col("plain") * (1 - share), (1 - F.col("plain")) * share
+    rules = rules.withColumn("confidence", held / (held + other)).where(F.col("confidence") >= min_confidence - 1e-9).drop("plain")
+    rules = materialize(rules.withColumn("anchor", F.col("items")[0]).withColumn("rule_id", F.xxhash64("items", "implies")), "urlrules")
     # A rule with a subset that is as sure adds nothing; the subset is posted under one of its items.
-    wide = rules.select(F.col("rule_id").alias("wide_id"), F.col("items").alias("wide"), F.col("confidence").alias("sure"), F.explode("items").alias("anchor"))
-    covered = wide.join(rules, "anchor").where((F.size("items") < F.size("wide")) & (F.size(F.array_except("items", "wide")) == 0) & (F.col("confidence") >= F.col("sure")))
-    return rules.join(covered.select(F.col("wide_id").alias("rule_id")).distinct(), "rule_id", "left_anti").select("rule_id", "items", "anchor", "confidence")
+    wide = rules.select(F.col("rule_id").alias("wide_id"), F.col("items").alias("wide"), F.col("confidence").alias("sure"), "implies", F.explode("items").alias("anchor"))
+    covered = wide.join(rules, ["anchor", "implies"]).where((F.size("items") < F.size("wide")) & (F.size(F.array_except("items", "wide")) == 0) & (F.col("confidence") >= F.col("sure")))
+    return rules.join(covered.select(F.col("wide_id").alias("rule_id")).distinct(), "rule_id", "left_anti").select("rule_id", "items", "anchor", "implies", "confidence")
 
 
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, min_support: float = 0.002, min_confidence: float = 0.8) -> DataFrame:
-    """``page_id, host, path, rule, verdict``, a row per row of ``pages``."""
+    """``page_id, host, path, rule, verdict, n_mined``, a row per row of ``pages``."""
     url = F.col("url")
     parsed = pages.select(F.col("page_id").cast("long").alias("page_id"), url, host_of(url).alias("host"), path_of(url).alias("path"))
     parsed = parsed.withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules)).withColumn("tokens", tokens_of(url, F.col("host"), F.col("path")))
-    parsed = parsed.withColumn("set_id", F.xxhash64("tokens"))
-    blocked = F.when(F.col("fit.verdict") == "block", F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))
-    mined = mine_rules(parsed.select(F.concat("tokens", blocked).alias("items")), min_support, min_confidence)
+    mined = mine_rules(parsed.where("fit is not null").select("tokens", F.col("fit.verdict").alias("verdict")), min_support, min_confidence)
     # Distinct token sets that no rule judges, with a row for each token, against the posted rules.
     sets = parsed.where("fit is null").select("tokens").distinct()
     posted = sets.select("tokens", F.explode("tokens").alias("anchor")).join(mined, "anchor").where(F.size(F.array_except("items", "tokens")) == 0)
-    hit = posted.groupBy("tokens").agg(F.max("confidence").alias("confidence"), F.count("*").alias("n_rules"))
+    sure = lambda verdict: F.coalesce(F.max(F.when(F.col("implies") == verdict, F.col("confidence"))), F.lit(0.0))
+    hit = posted.groupBy("tokens").agg((sure("block") > sure("allow")).alias("blocks"), F.count("*").alias("n_rules"))
     out = parsed.join(hit, "tokens", "left")
-    method = F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
+    method = F.when(F.col("blocks"), F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", method).alias("verdict"), F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_mined"))

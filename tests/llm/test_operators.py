@@ -159,6 +159,21 @@ def test_url_rules(spark):
     assert url_rules.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_mined_combinations_judge_the_rest(spark):
+    """``ads`` stands in blocked urls alone and ``id`` in allowed ones alone; ``lang`` stands in all, though most are blocked."""
+    urls = [f"http://a.com/en/p?ads={i}" for i in range(200)] + [f"http://a.com/en/p?lang={i}" for i in range(60)]
+    urls += [f"http://b.net/de/p?id={i}" for i in range(40)] + [f"http://b.net/de/p?lang={i}" for i in range(40)]
+    want = ["block"] * 260 + ["allow"] * 80
+    for key, verdict in (("ads", "block"), ("id", "allow"), ("lang", "allow"), ("new", "allow")):
+        urls += [f"http://c{i}.info/fr/{i}/x{i}?{key}={i}" for i in range(100)]
+        want += [verdict] * 100
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(pages).collect()}
+    assert [got[i] for i in range(len(urls))] == want
+    one_sided = url_rules.judge_urls(pages.where("url not like '%.net/%'")).where("rule is null")
+    assert {r["verdict"] for r in one_sided.collect()} == {"allow"}
+
+
 # --- exact duplicates ---
 
 
