@@ -124,24 +124,30 @@ def local_verdict(label_a: Column, label_b: Column, norm_a: Column, norm_b: Colu
     rules = [
         (norm_a == norm_b, verdict(True, F.lit(0.99), F.lit("Normalised names identical."))),
         (within & (overlap >= 0.6) & (score >= 0.78), verdict(True, _round2(0.80 + 0.15 * overlap), F.concat(F.lit("Token containment ("), percent(overlap), F.lit("), score "), points, F.lit(".")))),
-        ((F.char_length(low_short) >= 4) & F.contains(low_long, low_short), verdict(True, _round2(0.82 + 0.10 * score), F.lit("One label contains the other."))),
+        ((F.char_length(low_short) >= 4) & F.contains(low_long, low_short), verdict(True, _round2(0.82 + 0.10 * score), F.concat(F.lit("Substring match, score "), points, F.lit(".")))),
         (some & F.char_length(letters).between(2, 5) & (letters == other) & (score >= 0.75), verdict(True, F.lit(0.80), F.lit("Initials match."))),
         (some & (score >= 0.82) & (least >= 0.5), verdict(True, _round2(0.95 * score), F.concat(F.lit("High score ("), points, F.lit("), "), percent(least), F.lit(" token overlap.")))),
         (some & (score >= 0.78) & (least >= 0.3), verdict(True, _round2(0.80 * score), F.concat(F.lit("Moderate score ("), points, F.lit("), "), percent(least), F.lit(" overlap.")))),
     ]
-    out = verdict(False, _round2(1 - score), F.lit("Too little in common."))
+    out = verdict(False, _round2(1 - score), F.concat(F.lit("Score "), points, F.lit(" below threshold.")))
     for test, answer in reversed(rules):
         out = F.when(test, answer).otherwise(out)
     return out
 
 
-Validator = Callable[[Column, Column, Column, Column, Column], Column]
+def judged_by_rules(pairs: DataFrame) -> DataFrame:
+    """The judge that needs no service: adds ``verdict`` to pairs ``label_a, label_b, a, b, score``."""
+    return pairs.withColumn("verdict", local_verdict(F.col("label_a"), F.col("label_b"), F.col("a"), F.col("b"), F.col("score")))
 
 
-def validated_dedup(masters: DataFrame, validate: Validator = local_verdict) -> DataFrame:
+#: Adds ``verdict`` to a table of pairs; a null verdict leaves a pair open.
+Judge = Callable[[DataFrame], DataFrame]
+
+
+def validated_dedup(masters: DataFrame, judge: Judge = judged_by_rules) -> DataFrame:
     """``masters`` with ``duplicate_status, duplicate_of, duplicate_score, ai_decision, record_type``.
 
-    Pairs at 0.92 merge; pairs from 0.75 merge if the validator accepts them.  Every such pair is judged, so
+    Pairs at 0.92 merge; pairs from 0.75 merge if the judge accepts them.  Every such pair is judged, so
     a probable mark does not depend on an order.  Members too unlike their primary are let go.  Where even
     the best label is poor, a title-cased record is minted above the highest id, and the old best becomes
     its duplicate with score 1.
@@ -157,7 +163,7 @@ def validated_dedup(masters: DataFrame, validate: Validator = local_verdict) ->
     open_pairs = edges.where(F.col("score") < P.AUTO_DUPLICATE).select("id_a", "id_b", "a", "b", "score")
     judged = open_pairs.join(labels.select(F.col("norm").alias("a"), F.col("label").alias("label_a"), F.col("rid").alias("rid_a")), "a")
     judged = judged.join(labels.select(F.col("norm").alias("b"), F.col("label").alias("label_b"), F.col("rid").alias("rid_b")), "b")
-    judged = materialize(judged.withColumn("verdict", validate(F.col("label_a"), F.col("label_b"), F.col("a"), F.col("b"), F.col("score"))), "judged")
+    judged = materialize(judge(judged), "judged")
     accepted = judged.where(F.col("verdict.same_company") & (F.col("verdict.confidence") >= P.ACCEPT_CONFIDENCE))
     comp = materialize(connected_components(auto.select("id_a", "id_b").unionAll(accepted.select("id_a", "id_b"))), "comp")
     usable = members.select("norm", F.col("low").alias("node")).distinct()

@@ -1,5 +1,6 @@
 from mergewell.operators import remote_validator as R
 from mergewell.plans import profiles as P
+from mergewell.plans import pipelines as L
 from mergewell.plans.pipelines import flagged_records
 from mergewell.streaming import ingest
 
@@ -28,3 +29,18 @@ def test_stream_equals_batch(spark, tmp_path):
     ingest.flag_stream(ingest.arriving(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, flagged_records(rows, P.BALANCED).select(*got.columns).collect()))
+
+
+def test_service_judges_inside_the_flow(spark):
+    labels = ["Palo Alto Networks", "Palo auto network", "Stallion Nigeria Limited", "Stallion Group of Nigeria", "Nyanza Health Society", "Nyanza Health Societies Kenya"]
+    masters = spark.createDataFrame([(i, x, "Company") for i, x in enumerate(labels, 1)], "id long, label string, type string")
+    no = R.service_judge(lambda _: (200, '{"same_company": false, "confidence": 1}'), pause=0)
+    yes = R.service_judge(lambda _: (200, '{"same_company": true, "confidence": 0.9, "reasoning": "r"}'), pause=0)
+    unsure = R.service_judge(lambda _: (200, '{"same_company": true, "confidence": 0.2}'), pause=0)
+    none = R.service_judge(lambda _: (200, ""), most_calls=0, pause=0)
+    marks = {k: {r["id"]: r for r in L.validated_dedup(masters, j).collect()} for k, j in (("no", no), ("yes", yes), ("unsure", unsure), ("none", none))}
+    open_ids = {i for i, r in marks["yes"].items() if r["ai_decision"]}
+    assert open_ids and all('"reasoning":"r"' in marks["yes"][i]["ai_decision"] for i in open_ids)
+    assert {i for i, r in marks["unsure"].items() if r["duplicate_status"] == "probable"} > open_ids
+    for k in ("no", "none"):
+        assert not any(r["ai_decision"] for r in marks[k].values()) and {i for i, r in marks[k].items() if r["duplicate_status"]} < {i for i, r in marks["yes"].items() if r["duplicate_status"]}
