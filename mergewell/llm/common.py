@@ -7,9 +7,12 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import drop_materialized, materialize, shared_dir
+from ..storage import drop_materialized, free_name, materialize, shared_dir
 
-__all__ = ["drop_materialized", "id_remainder", "materialize", "partitions_for", "shared_dir", "stable_hash", "table", "whole_texts"]
+__all__ = ["drop_materialized", "free_name", "id_remainder", "materialize", "partitions_for", "salted_join", "shared_dir", "stable_hash", "table", "whole_texts"]
+
+#: Parts into which a key's rows are dealt before a join.
+SALTS = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,3 +36,15 @@ def partitions_for(df: DataFrame, least: int = 0) -> int:
 
 def stable_hash(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+def salted_join(many: DataFrame, few: DataFrame, on: list[str], spread: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """``many.join(few, on, how)`` with each key's rows on the left dealt to ``salts`` tasks by a hash of ``spread``.
+
+    ``few`` has little for each key, since it is repeated ``salts`` times; ``how`` is inner or left.  A hash
+    of the row, unlike a random number, deals a row alike when a lost task runs again.
+    """
+    salt = free_name("salt", many, few)
+    left = many.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    right = few.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*on, salt], how).drop(salt)

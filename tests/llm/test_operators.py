@@ -1,6 +1,7 @@
 """Small, hostile tables through every operator, against brute force."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -10,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from mergewell.llm import brown_lm, decontaminate, exact_dedup, html_extract, minhash, mixing, pii, token_output, toxicity, url_rules
 
@@ -174,6 +176,59 @@ def test_mined_combinations_judge_the_rest(spark):
     assert {r["verdict"] for r in one_sided.collect()} == {"allow"}
 
 
+def brute_rules(sets, min_support, min_confidence):
+    """``items -> verdict -> confidence`` from ``(tokens, verdict)`` rows, every combination counted."""
+    total, counts = Counter(v for _, v in sets), Counter()
+    for tokens, verdict in sets:
+        for k in range(1, url_rules.LONGEST + 1):
+            counts.update((items, verdict) for items in itertools.combinations(sorted(tokens), k))
+    least = max(min_support * len(sets), min(url_rules.LEAST_URLS, len(sets)))
+    rules = {}
+    for (items, verdict), n in counts.items():
+        other = "allow" if verdict == "block" else "block"
+        mine, not_mine = n / total[verdict], counts[(items, other)] / total[other]
+        if n >= least and mine / (mine + not_mine) >= min_confidence - 1e-9:
+            rules[(items, verdict)] = mine / (mine + not_mine)
+    return {(i, v): c for (i, v), c in rules.items() if not any(w == v and set(j) < set(i) and d >= c for (j, w), d in rules.items())}
+
+
+def test_mined_rules_are_all_combinations(spark):
+    rng = np.random.default_rng(12)
+    sets = []
+    for _ in range(400):
+        tokens = {f"t{rng.integers(0, 14)}" for _ in range(rng.integers(0, 13))} | ({"long" + str(k) for k in range(6)} if rng.random() < 0.2 else set())
+        sets.append((sorted(tokens), "block" if ("t1" in tokens) ^ (rng.random() < 0.15) else "allow"))
+    grouped = Counter((tuple(t), v) for t, v in sets)
+    df = spark.createDataFrame([(list(t), v, n) for (t, v), n in grouped.items()], "tokens array<string>, verdict string, n long")
+    got = {(tuple(r["items"]), r["implies"]): r["confidence"] for r in url_rules.mine_rules(df, 0.05, 0.7).collect()}
+    want = brute_rules(sets, 0.05, 0.7)
+    assert len(want) > 10 and any(len(i) > 1 for i, _ in want) and got == {k: pytest.approx(c) for k, c in want.items()}
+
+
+def test_hosts_with_many_labels(spark):
+    """A host of 24 labels, shared by 40 urls and one below another, has no more rules than its labels."""
+    deep = [f"l{i}" for i in range(24)]
+    rows = [f"http://{'.'.join(deep)}.com/en/{i}" for i in range(40)] + [f"http://{'.'.join(deep[k:])}.com/en/a/b/{i}" for k in range(24) for i in range(3)]
+    rows += [f"http://x{i % 3}.net/de/{i}" for i in range(40)] + [f"http://l3.l4.org/fr/{i}" for i in range(40)]
+    got = url_rules.judge_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).collect()
+    assert len(got) == len(rows) and {r["verdict"] for r in got if r["host"] == "l3.l4.org"} == {"block"}
+    assert all(r["n_mined"] > 0 for r in got if r["host"] == "l3.l4.org")
+
+
+def test_verdicts_do_not_depend_on_how_they_are_joined(spark, monkeypatch):
+    rows = [(i, f"http://a.com/en/p?ads={i % 9}") for i in range(60)] + [(100 + i, f"http://b.net/de/p?id={i}") for i in range(60)] + [(200 + i, f"http://c.info/x?{'ads' if i % 2 else 'id'}={i}") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("anchor", F.lit("clash")).withColumn("salt", F.lit(1)).withColumn("tokens", F.lit(""))
+    want = Counter(map(tuple, url_rules.judge_urls(pages).collect()))
+    monkeypatch.setattr(url_rules, "BROADCAST_ROWS", -1)
+    assert Counter(map(tuple, url_rules.judge_urls(pages).collect())) == want and sum(want.values()) == 180
+
+
+def test_very_long_urls(spark):
+    long = "http://" + ".".join("ab"[i % 2] for i in range(3000)) + ".com/en/" + "x/" * 20_000 + "?" + "k=1&" * 5000
+    got = url_rules.judge_urls(spark.createDataFrame([(i, long) for i in range(30)] + [(50 + i, "http://n.net/de/") for i in range(30)], "page_id long, url string")).collect()
+    assert Counter(r["verdict"] for r in got) == {"block": 30, "allow": 30}
+
+
 # --- exact duplicates ---
 
 
