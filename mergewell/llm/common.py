@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..storage import drop_materialized, free_name, materialize, shared_dir
 
-__all__ = ["drop_materialized", "free_name", "id_remainder", "materialize", "partitions_for", "salted_join", "shared_dir", "stable_hash", "table", "whole_texts"]
+__all__ = ["drop_materialized", "free_name", "id_remainder", "materialize", "packed", "partitions_for", "salted_join", "shared_dir", "stable_hash", "table", "whole_texts"]
 
 #: Parts into which a key's rows are dealt before a join.
 SALTS = 32
@@ -24,6 +24,11 @@ def whole_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """Each row of ``docs`` as the struct ``row`` beside other columns, so that no name can clash; ``row.*`` unpacks it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *more)
+
+
 def id_remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

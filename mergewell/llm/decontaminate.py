@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, packed
 
 LEAST_WORDS = 3
 SHORT = 8
@@ -202,6 +202,7 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all their columns."""
-    hits = _side(contaminated(docs, benchmark, threshold).select(F.col("doc_id").alias("_hit"), F.col("key").alias("_key")))
-    return docs.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("_hit")) & (text_key() == F.col("_key")), "left_anti")
+    """The rows of ``docs`` that hold no test item, with all their columns, whatever their names."""
+    hits = _side(contaminated(docs, benchmark, threshold).select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")))
+    rows = packed(docs, F.col("doc_id").cast("long").alias("id"), text_key().alias("key"))
+    return rows.join(hits, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("key") == F.col("hit_key")), "left_anti").select("row.*")

@@ -12,13 +12,16 @@ of at most ``MISSED``.  That makes 40 of 64 at 0.85 and 35 at 0.80.
 
 Scale: documents with equal sets are one node from the start, so exact copies are never paired.  A
 list of over ``LONG_LIST`` nodes is not merged but hung on its least node, which only makes a
-candidate cluster wider.  A cluster is confirmed in blocks of at most ``CHUNK`` nodes or
-``CHUNK_SHINGLES`` shingles; a task holds two blocks and returns a spanning forest of its links, never
-the pairs.  Texts are shuffled once, and only narrow rows otherwise.
+candidate cluster wider.  A cluster is confirmed in chunks of about ``CHUNK`` nodes or ``CHUNK_SHINGLES``
+shingles, each with ``HUBS`` nodes of the whole cluster, so a group of copies becomes one part in work that
+grows with its size.  Only nodes that this leaves outside their cluster's largest part meet the other
+chunks, in pairs of chunks.  A task holds two chunks at most and returns a spanning forest of its links,
+never the pairs.  Texts are shuffled once, and only narrow rows otherwise; joins on a cluster are salted.
 
 Defined results: a null text is empty; an empty text has no shingles, is its own component and is
 linked with nothing; fewer than five words make one shingle; rows that share an id are one document
-with the links of all its texts; a row without an id links to nothing, has no component and is kept.
+with the links of all its texts; a row without an id links to nothing, has no component and is kept;
+other columns are ignored, and :func:`one_of_each_group` returns them as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import drop_materialized, materialize, whole_texts
+from .common import drop_materialized, materialize, packed, salted_join, whole_texts
 
 WORDS = 5
 COORDINATES = 64
@@ -43,6 +46,8 @@ MISSED = 2.5e-6
 LONG_LIST = 256
 CHUNK = 1024
 CHUNK_SHINGLES = 2_000_000
+#: Nodes of a cluster that each of its chunks is confirmed with.
+HUBS = 4
 #: Words whose hashes a worker remembers; others are hashed each time.
 REMEMBERED = 150_000
 
@@ -169,12 +174,12 @@ def _merge_lists(matches: int):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the set, as sorted integers, in place of the text; columns ``cluster, node, text``."""
+    """Adds the set, as sorted integers, in place of the text, which is the last column."""
     for batch in batches:
         for at in range(0, max(1, batch.num_rows), 500):
             part = batch.slice(at, 500)
-            sets = [shingle_set(t) for t in part.column(2).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cluster", "node", "n", "shingles"])
+            sets = pa.array([shingle_set(t).tobytes() for t in part.column(part.num_columns - 1).cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], sets], names=[*part.schema.names[:-1], "shingles"])
 
 
 def confirmed_links(nodes: list[int], sides: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -212,7 +217,7 @@ def confirmed_links(nodes: list[int], sides: list[int], sets: list[np.ndarray],
 
 def _confirm(percent: int):
     def run(group: pa.Table) -> pa.Table:
-        rows = sorted(set(zip(group.column("chunk").to_pylist(), group.column("node").to_pylist(), group.column("shingles").to_pylist())))
+        rows = sorted(set(zip(group.column("side").to_pylist(), group.column("node").to_pylist(), group.column("shingles").to_pylist())))
         edges = confirmed_links([r[1] for r in rows], [r[0] for r in rows], [np.frombuffer(r[2], dtype=np.uint64) for r in rows], percent)
         return pa.table({"id_a": pa.array([a for a, _ in edges], pa.int64()), "id_b": pa.array([b for _, b in edges], pa.int64())})
 
@@ -238,27 +243,68 @@ def candidate_edges(nodes: DataFrame, matches: int, label: str = "posts") -> Dat
     return merged.unionAll(hung).distinct()
 
 
+_EDGE = "id_a long, id_b long"
+
+
+def dealt_clusters(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``cluster, node, chunks, chunk, hubs`` of every node in a cluster of the candidate graph (written)."""
+    clusters = connected_components(edges).select(F.col("component").alias("cluster"), F.col("id").alias("node"))
+    clusters = materialize(clusters.join(nodes.select("node", "n"), "node"), "clusters")
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int")
+    hubs = F.array(*[F.min_by("node", F.xxhash64(F.lit(k), "node")) for k in range(HUBS)])
+    sizes = clusters.groupBy("cluster").agg(chunks.alias("chunks"), hubs.alias("hubs"))
+    placed = salted_join(clusters, sizes, ["cluster"], ["node"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    placed = materialize(placed.select("cluster", "node", "chunks", "chunk", F.when(F.col("chunks") > 1, F.array_contains("hubs", F.col("node"))).otherwise(False).alias("hub")), "placed")
+    drop_materialized(clusters)
+    return placed
+
+
+def confirmed_edges(placed: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Edges that connect what the links inside the clusters connect (written)."""
+    texts = docs.select(F.col("doc_id").alias("node"), "text")
+    kinds = "cluster long, node long, chunks int, chunk int, hub boolean, shingles binary"
+    sets = materialize(placed.join(texts, "node").select("cluster", "node", "chunks", "chunk", "hub", "text").mapInArrow(_sets, kinds), "sets")
+    row = ["cluster", "chunk", F.lit(0).alias("side"), "node", "shingles"]
+    everywhere = sets.where("hub").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    groups = sets.select(*row).unionAll(everywhere.select(*row)).groupBy("cluster", "chunk")
+    links = materialize(groups.applyInArrow(_confirm(percent), _EDGE), "links")
+    large = placed.where("chunks > 1")
+    if not large.isEmpty():
+        parts = materialize(connected_components(links.join(large.select(F.col("node").alias("id_a")), "id_a", "left_semi")), "parts")
+        named = large.join(parts.withColumnRenamed("id", "node"), "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("part"))
+        named = materialize(named, "named")
+        most = named.groupBy("cluster", "part").agg(F.count("*").alias("size")).groupBy("cluster").agg(F.max(F.struct("size", "part")).alias("m"))
+        apart = salted_join(named, most.select("cluster", F.col("m.part").alias("main")), ["cluster"], ["node"]).where("part <> main").select("cluster", "node")
+        apart = materialize(apart, "apart")
+        blocks = materialize(apart.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks")), "blocks")
+        if not blocks.isEmpty():
+            alone = sets.join(apart.select("node"), "node", "left_semi")
+            alone = salted_join(alone, blocks, ["cluster"], ["node"]).withColumn("block", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int"))
+            alone = alone.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            rest = salted_join(sets.where("chunks > 1"), blocks, ["cluster"], ["node"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            both = alone.select("cluster", "chunk", "block", F.lit(1).alias("side"), "node", "shingles").unionAll(rest.select("cluster", "chunk", "block", F.lit(0).alias("side"), "node", "shingles"))
+            more = materialize(both.groupBy("cluster", "chunk", "block").applyInArrow(_confirm(percent), _EDGE), "links")
+            links = links.unionAll(more)
+        drop_materialized(parts, named, apart, blocks)
+    drop_materialized(sets)
+    return links
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, a row per row of ``docs``."""
     docs = whole_texts(docs)
     signed = materialize(docs.mapInArrow(_sign, "doc_id long, n long, fp binary, sig array<int>"), "signed")
     live = signed.where("n > 0 and doc_id is not null")
-    nodes = materialize(live.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "nodes")
+    nodes = materialize(live.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n").alias("n")), "nodes")
     wide = materialize(candidate_edges(nodes, matches_for(percent)), "candidates")
-    clusters = materialize(connected_components(wide).select(F.col("component").alias("cluster"), F.col("id").alias("node")), "clusters")
-    sets = materialize(clusters.join(docs.withColumnRenamed("doc_id", "node"), "node").select("cluster", "node", "text").mapInArrow(_sets, "cluster long, node long, n long, shingles binary"), "sets")
-    sizes = sets.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
-    dealt = sets.join(sizes, "cluster").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("cluster", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "shingles")
-    links = materialize(dealt.groupBy("cluster", "i", "j").applyInArrow(_confirm(percent), "id_a long, id_b long"), "links")
+    placed = dealt_clusters(wide, nodes.groupBy("node").agg(F.max("n").alias("n")))
+    links = confirmed_edges(placed, docs, percent)
     # An id whose rows differ in text ties its nodes together.
     named = live.join(nodes.select("fp", "node"), "fp")
     ties = named.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("doc_id")
     ties = named.join(ties, "doc_id", "left_semi").select(F.col("doc_id").alias("id_a"), F.col("node").alias("id_b"))
     found = materialize(connected_components(links.unionAll(ties)), "components")
-    for old in (wide, clusters, sets, links):
-        drop_materialized(old)
+    drop_materialized(wide, placed)
     by_fp = nodes.select("fp", "node").join(found.withColumnRenamed("id", "node"), "node", "left").select("fp", F.coalesce("component", "node").alias("of"))
     out = signed.join(by_fp, "fp", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("of")).cast("long")
@@ -275,14 +321,17 @@ def one_of_each_group(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     Of rows that share an id, the least by all columns stays.  Rows without an id all stay.
     """
-    verdict = materialize(near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    side = F.broadcast(verdict) if verdict.count() <= BROADCAST_IDS else verdict
-    left = docs.join(side, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again")
-    if repeated.isEmpty():
-        return left
+
+    def side(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    rows = packed(docs, F.col("doc_id").cast("long").alias("id"))
+    dropped = materialize(near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("id")).distinct(), "dropped")
+    left = rows.join(side(dropped), "id", "left_anti")
+    repeated = rows.where("id is not null").groupBy("id").count().where("count > 1").select("id")
     again = materialize(repeated, "again")
-    side = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
-    alone = left.join(side, F.col("doc_id") == F.col("_again"), "left_anti")
-    one = left.join(side, F.col("doc_id") == F.col("_again"), "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return alone.unionByName(one.select("row.*"))
+    if again.isEmpty():
+        return left.select("row.*")
+    again = side(again)
+    one = left.join(again, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row"))
+    return left.join(again, "id", "left_anti").select("row.*").unionByName(one.select("row.*"))

@@ -48,7 +48,7 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most two passes over any source, no source short of one pass."""
-    return mixing.mixed(table(spark, sf_dir, "documents"), repetition_limit=2.0).select("doc_id", "source", "n_tokens", "weight", "exponent", "copies")
+    return mixing.mixed(table(spark, sf_dir, "documents"), repetition_limit=2.0).select("doc_id", "source", "n_tokens", "weight", "exponent", "copies", "places")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -4,11 +4,13 @@ import hashlib
 import itertools
 import math
 import re
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -562,3 +564,120 @@ def test_mixing_under_a_budget(spark):
     w = {r["source"]: r["weight"] for r in got}
     assert -sum(x * math.log(x) for x in w.values()) == pytest.approx(0.9, abs=1e-3)
     assert 500 - 3 * 8 <= sum(r["n_tokens"] * r["copies"] for r in got) <= 500
+
+
+def spark_hash(*values):
+    """The engine's 64-bit hash: each value is hashed with the hash so far as the seed; nulls are passed over."""
+    h = 42
+    for kind, v in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode() if kind == "s" else struct.pack("<" + kind, v), seed=h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def brute_mix(rows, limit, budget=None, seed=20):
+    """``copies`` and places of every row: tempered shares, whole passes, then documents in order of the hash."""
+    n = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    by = {}
+    for i, t, s in rows:
+        by.setdefault(s or "", []).append((spark_hash(("i", seed), ("q", i), ("s", t)), i, t))
+    tokens = {s: sum(n(t) for _, _, t in r) for s, r in by.items()}
+    total = sum(tokens.values())
+    live = [x / total for x in tokens.values() if x]
+
+    def meets(x):
+        most, least, z = max(p ** (x - 1) for p in live), min(p ** (x - 1) for p in live), sum(p**x for p in live)
+        return (most / least if budget is None else most * budget / (z * total)) <= limit + 1e-12
+
+    low, high = 0.0, 1.0
+    if meets(0.0):
+        high = 0.0
+    for _ in range(32 if high else 0):
+        half = (low + high) / 2
+        low, high = (low, half) if meets(half) else (half, high)
+    z = sum(p**high for p in live)
+    weight = {s: (x / total) ** high / z if x else 0.0 for s, x in tokens.items()}
+    budget = budget if budget is not None else max(tokens[s] / weight[s] for s in tokens if tokens[s])
+    out = Counter()
+    for s, members in by.items():
+        goal = weight[s] * budget
+        passes = int(goal / tokens[s] + 1e-9) if tokens[s] else 1
+        rest = max(goal - passes * tokens[s], 0.0) if tokens[s] else 0.0
+        spent, taken = 0, set()
+        for h in sorted({h for h, _, _ in members}):
+            spent += sum(n(t) for g, _, t in members if g == h)
+            if spent > rest:
+                break
+            if tokens[s] and rest > 0:
+                taken.add(h)
+        for h, i, t in members:
+            hashes = [spark_hash(("i", seed), ("q", i), ("s", t), ("i", k)) for k in range(passes)] + [h] * (h in taken)
+            out[(i, t, s, round(weight[s], 9), tuple((k, (g >> 44) + 2**19, g & (2**44 - 1)) for k, g in enumerate(hashes)))] += 1
+    return out
+
+
+@pytest.mark.parametrize("limit, budget", [(2.0, None), (1.25, None), (3.0, 700.0), (50.0, 5000.0)])
+def test_mixing_against_brute_force(spark, limit, budget):
+    rows = [(i, "a " * (i % 7 + 1), ("big", "mid", "small", None)[0 if i % 3 else 1 if i % 4 else 2 if i % 5 else 3]) for i in range(300)]
+    rows += [(None, None, "big"), (900, None, "void"), (901, "", "void"), (1, "a a ", "big"), (1, "a a ", "big")]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed(made, repetition_limit=limit, budget=budget).collect()
+    assert all(r["copies"] == len(r["places"]) for r in got)
+    assert Counter((r["doc_id"], r["text"], r["source"] or "", round(r["weight"], 9), tuple(map(tuple, r["places"]))) for r in got) == brute_mix(rows, limit, budget)
+
+
+CLASHES = "rest cut passes last _weight weight copies n_tokens exponent places s position t mix upper lower before at row _dropped _again _id count _hit _key key hit salt _toxicity _copy score kept cluster node fold".split()
+
+
+def test_mixing_stream_is_the_permutation(spark, empty):
+    rows = [(i, "a " * (i % 7 + 1), "big" if i % 5 else "small", *[f"{c}{i}" for c in CLASHES]) for i in range(200)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in CLASHES))
+    plan = mixing.mixed(made, repetition_limit=2.0).collect()
+    want = [i for _, i in sorted((tuple(p), r["doc_id"]) for r in plan for p in r["places"])]
+    stream = mixing.mixed_stream(made, repetition_limit=2.0)
+    got = stream.collect()
+    assert stream.columns == made.columns and [r["doc_id"] for r in got] == want and len(want) > 200
+    assert all(tuple(r) == rows[r["doc_id"]] for r in got)
+    assert mixing.mixed_stream(empty, repetition_limit=2.0).count() == 0
+
+
+def test_mixing_many_sources_by_shuffle(spark, monkeypatch):
+    df, how = _mixed(spark)
+    want = Counter(str(r) for r in mixing.mixed(df, **how).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", -1)
+    assert Counter(str(r) for r in mixing.mixed(df, **how).collect()) == want
+
+
+# --- clashing names ---
+
+
+def test_no_column_name_clashes(spark):
+    """Every internal name, and dotted ones, as columns of the input: rows come back as they were."""
+    names = [*CLASHES, "a.b", "id", "component_id", "contaminated", "item_id", "held_out", "addresses", "sha", "level", "name", "part", "seq", "file", "start"]
+    rows = [(i, t, "s", *[f"{c}{k}" for c in names]) for k, (i, t) in enumerate(TEXTS)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in names))
+    kept = minhash.one_of_each_group(made)
+    assert kept.columns == made.columns and set(map(tuple, kept.collect())) <= set(rows)
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted([i for i, root in brute_near(TEXTS).items() if i == root] + [-1])
+    bench = spark.createDataFrame([(1, BASE, "x")], "item_id long, text string, doc_id string")
+    clean = decontaminate.clean_documents(made, bench)
+    assert clean.columns == made.columns and sorted(map(str, map(tuple, clean.collect()))) == sorted(str(r) for r in rows if r[0] not in (1, 2, 3, 4, 13))
+    for op in (pii.pii_spans, exact_dedup.exact_duplicates, brown_lm.lm_scores, minhash.near_duplicates, lambda d: token_output.read_token_files(token_output.write_token_files(d))):
+        assert op(made).count() == len(TEXTS)
+
+
+def test_near_duplicates_of_parts_beside_the_largest(spark, monkeypatch):
+    """One candidate cluster (all lists are hung) of families of several sizes, dealt over many chunks."""
+    monkeypatch.setattr(minhash, "LONG_LIST", 1)
+    monkeypatch.setattr(minhash, "CHUNK", 8)
+    monkeypatch.setattr(minhash, "matches_for", lambda percent: 10)
+    rng = np.random.default_rng(80)
+    shared, rows = sentence(500, 60).split(), []
+    for family, size in enumerate((90, 40, 12, 3, 2, 1, 1, 1)):
+        own = [f"f{family}x{j}" for j in range(60)]
+        for _ in range(size):
+            w = shared + own
+            for _ in range(rng.integers(0, 3)):
+                w[rng.integers(60, 120)] = f"n{rng.integers(0, 10**6)}"
+            rows.append((int(rng.integers(0, 10**9)), " ".join(w)))
+    check_near(spark, rows)
