@@ -1,17 +1,21 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page is cut into leaf blocks: the text between block-level tags, with the path of open elements and
-their class and id words.  Hashed vectors of the path and of the words, with a few lengths, go through a
-bidirectional LSTM in numpy, which labels every block main or boilerplate with the whole page in view.
+their class and id words.  Tags are read by HTML's attribute rules: a quote opens a string only where a
+value begins.  Hashed vectors of the path and of the words, with a few lengths, go through a bidirectional
+LSTM in numpy, which labels every block main or boilerplate with the whole page in view.
 The model is trained on the driver on page layouts made here by rule (menus, adverts, notices, forms,
 side bars, comments, with and without telling tags), so its size and cost are fixed and no page's text is
 needed to fit it.
 
-Scale: one narrow pass; a worker holds a batch of pages and the weights (some 100 kB).
+Scale: one narrow pass; a worker holds a batch of pages and the weights (some 100 kB).  Cutting is linear
+in the page however deep its elements: an open element carries the hashed path above it as one
+integer.  A page of very many blocks is labelled in slices, so its vectors never stand in memory at once.
 
 Defined results: null html is an empty page; a page without main blocks has an empty text; unclosed
-elements end with the page, an unclosed script or comment swallows the rest as browsers do; repeated
-rows each give a row; other columns are ignored.
+elements end with the page, an unclosed script or comment swallows the rest as browsers do; a quoted
+value that never ends is read as an unquoted one, and a tag that never ends is text, so neither loses any;
+repeated rows each give a row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +37,11 @@ NUMBERS = 6
 INPUT = PATH_BUCKETS + WORD_BUCKETS + NUMBERS
 HIDDEN = 20
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Where markup may begin, and a whole tag: attributes are names with an optional value, quoted or not.
+_MARKUP = re.compile(r"<(?:!--|[!?]|/?[A-Za-z])")
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+|))?+)*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
+_ATTRIBUTE = re.compile(r"(?:^|[\s/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _RAW = frozenset(("script", "style", "template", "noscript", "svg", "iframe", "textarea", "head"))
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
@@ -53,111 +60,172 @@ def _raw_end(tag: str) -> re.Pattern:
 
 
 class Block:
+    """A leaf block: its text, the buckets of its path as bits, and how much of it stands in links."""
+
     __slots__ = ("text", "path", "linked")
 
-    def __init__(self, text: str, path: tuple[str, ...], linked: int):
+    def __init__(self, text: str, path: int, linked: int):
         self.text, self.path, self.linked = text, path, linked
 
 
+_PART = re.compile(r"[a-z]+")
+
+
+@lru_cache(maxsize=20_000)
+def _step_bits(tag: str, words: str) -> int:
+    """Buckets of an element's name and of its class, id and role words."""
+    bits = 1 << crc32(tag.encode(errors="replace")) % PATH_BUCKETS
+    for w in _PART.findall(words):
+        bits |= 1 << crc32(b"." + w.encode()) % PATH_BUCKETS
+    return bits
+
+
+class _Open:
+    """The open elements; each knows its path's bits and the paragraph or item that a new one would end."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.bits = [0]
+        self.ends: list[tuple[int, int]] = []  # places of the p and the li with only inline elements above
+        self.count: dict[str, int] = {}
+
+    def push(self, tag: str, bits: int) -> None:
+        place = len(self.tags)
+        p, li = self.ends[-1] if self.ends and tag in _INLINE else (-1, -1)
+        self.ends.append((place if tag == "p" else p, place if tag == "li" else li))
+        self.tags.append(tag)
+        self.bits.append(self.bits[-1] | bits)
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def cut(self, place: int) -> None:
+        while len(self.tags) > place:
+            self.count[self.tags.pop()] -= 1
+            self.bits.pop()
+            self.ends.pop()
+
+    def end(self, tag: str) -> None:
+        """An end tag closes all down to its element, and nothing if there is none."""
+        if self.count.get(tag):
+            place = len(self.tags) - 1
+            while self.tags[place] != tag:
+                place -= 1
+            self.cut(place)
+
+    def begin(self, tag: str) -> None:
+        """What a block element ends implicitly."""
+        if self.ends:
+            p, li = self.ends[-1]
+            place = max(p, li) if tag == "li" else p
+            if place >= 0:
+                self.cut(place)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order; white space inside a block is one space, and empty blocks go."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []  # element and its step in the path
+    opened = _Open()
     held: list[str] = []
     linked = at = 0
+    unclosed: set[str] = set()  # raw elements whose end does not come any more
+    tag_at = _TAG
 
     def close() -> None:
         nonlocal linked
         if held:
             text = _SPACE.sub(" ", _html.unescape("".join(held))).strip()
             if text:
-                out.append(Block(text, tuple(s for _, s in stack if s), linked))
+                out.append(Block(text, opened.bits[-1], linked))
             held.clear()
         linked = 0
 
-    n = len(page)
-    while at < n:
-        m = _TOKEN.search(page, at)
-        text = page[at : m.start() if m else n]
+    def read(text: str) -> None:
+        nonlocal linked
         if text:
             held.append(text)
-            if any(t == "a" for t, _ in stack):
+            if opened.count.get("a"):
                 linked += len(text)
+
+    n = len(page)
+    while at < n:
+        m = _MARKUP.search(page, at)
         if not m:
+            read(page[at:])
             break
+        start = m.start()
+        read(page[at:start])
+        if m[0] == "<!--":
+            end = page.find("-->", start + 2)
+            at = n if end < 0 else end + 3
+            continue
+        if m[0][1] in "!?":
+            end = page.find(">", start)
+            if end < 0:
+                read(page[start:])
+                break
+            at = end + 1
+            continue
+        m = tag_at.match(page, start)
+        if not m:
+            # Its end lies beyond the page: from here on a tag ends at the next bracket, so that each is read once.
+            tag_at = _PLAIN_TAG
+            m = tag_at.match(page, start) if page.find(">", start) >= 0 else None
+            if not m:
+                read(page[start:])
+                break
         at = m.end()
-        if not m[2]:
-            continue  # a comment or declaration
         tag = m[2].lower()
         if m[1]:
             if tag not in _INLINE:
                 close()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            opened.end(tag)
             continue
+        if tag not in _INLINE:
+            close()
         if tag in _RAW:
-            if tag not in _INLINE:
-                close()
-            end = _raw_end(tag).search(page, at)
+            end = None if tag in unclosed else _raw_end(tag).search(page, at)
             if end:
                 at = end.end() if end[0][1] == "/" else end.start()
             elif tag in _SWALLOWS:
                 at = n
+            else:
+                unclosed.add(tag)
             continue
-        if tag not in _INLINE:
-            close()
         if tag == "br":
             held.append(" ")
         if tag in _VOID or m[3].endswith("/"):
             continue
         if tag in _ENDS_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p" or (tag == "li" and stack[i][0] == "li"):
-                    del stack[i:]
-                    break
-                if stack[i][0] not in _INLINE:
-                    break
-        if tag in _INLINE:
-            step = ""
-        else:
-            words = " ".join(x for found in _ATTRIBUTE.findall(m[3]) for x in found if x)
-            step = f"{tag} {words.lower()}" if words else tag
-        stack.append((tag, step))
+            opened.begin(tag)
+        words = "" if tag in _INLINE else " ".join(x for found in _ATTRIBUTE.findall(m[3]) for x in found if x)
+        opened.push(tag, 0 if tag in _INLINE else _step_bits(tag, words.lower()[:2000]))
     close()
     return out
 
 
-_PART = re.compile(r"[a-z]+")
+def _hashed(word: str) -> int:
+    return crc32(word.lower().encode(errors="replace")) % WORD_BUCKETS
 
 
-@lru_cache(maxsize=20_000)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    v = np.zeros(PATH_BUCKETS, np.float32)
-    for step in path:
-        tag, _, words = step.partition(" ")
-        v[crc32(tag.encode()) % PATH_BUCKETS] += 1
-        for w in _PART.findall(words):
-            v[crc32(b"." + w.encode()) % PATH_BUCKETS] += 1
-    return np.minimum(v, 1)
+#: Words of usual length are remembered; longer ones are hashed each time, so that the memory is bounded.
+_remembered = lru_cache(maxsize=200_000)(_hashed)
 
 
-@lru_cache(maxsize=200_000)
-def _bucket(word: str) -> int:
-    return crc32(word.lower().encode()) % WORD_BUCKETS
+@lru_cache(maxsize=20_000)
+def _path_vector(bits: int) -> np.ndarray:
+    return np.array([bits >> i & 1 for i in range(PATH_BUCKETS)], np.float32)
 
 
-def features(blocks: list[Block]) -> np.ndarray:
-    """A row per block: hashed path, hashed words (unit length), and lengths."""
-    x = np.zeros((len(blocks), INPUT), np.float32)
-    for i, b in enumerate(blocks):
+def features(blocks: list[Block], first: int = 0, last: int | None = None) -> np.ndarray:
+    """A row for each block from ``first`` up to ``last``: hashed path, hashed words (unit length), and lengths."""
+    chosen = blocks[first:last]
+    x = np.zeros((len(chosen), INPUT), np.float32)
+    for i, b in enumerate(chosen):
         x[i, :PATH_BUCKETS] = _path_vector(b.path)
         words = b.text.split(" ")
-        counts = np.bincount([_bucket(w) for w in words], minlength=WORD_BUCKETS)
+        counts = np.bincount([_remembered(w) if len(w) < 64 else _hashed(w) for w in words], minlength=WORD_BUCKETS)
         x[i, PATH_BUCKETS : PATH_BUCKETS + WORD_BUCKETS] = counts / max(1.0, float(np.sqrt((counts**2).sum())))
         n = len(b.text)
-        x[i, -NUMBERS:] = (np.log1p(n) / 8, np.log1p(len(words)) / 6, min(1.0, b.linked / n), b.text[-1] in ".!?", i / max(1, len(blocks) - 1), sum(c in "|©·»›" for c in b.text[:80]) > 0)
+        x[i, -NUMBERS:] = (np.log1p(n) / 8, np.log1p(len(words)) / 6, min(1.0, b.linked / n), b.text[-1] in ".!?", (first + i) / max(1, len(blocks) - 1), sum(c in "|©·»›" for c in b.text[:80]) > 0)
     return x
 
 
@@ -204,6 +272,24 @@ class BiLstm:
         both = np.concatenate([self._run(s, x, mask, False)[0] for s in "fb"], axis=2)
         return _sigmoid(both @ self.p["o"] + self.p["c"])
 
+    def scores_in_slices(self, blocks: list[Block], size: int = 4096) -> np.ndarray:
+        """Scores of one page, its vectors made for ``size`` blocks at a time, once for each direction."""
+        n, k = len(blocks), self.hidden
+        total = np.full(n, self.p["c"][0], np.float32)
+        for d, side in enumerate("fb"):
+            h, c = np.zeros(k, np.float32), np.zeros(k, np.float32)
+            recur, out = self.p["h" + side], self.p["o"][d * k : (d + 1) * k]
+            begins = range(0, n, size)
+            for begin in begins if side == "f" else reversed(begins):
+                z = features(blocks, begin, begin + size) @ self.p["x" + side] + self.p["b" + side]
+                for t in range(len(z)) if side == "f" else range(len(z) - 1, -1, -1):
+                    row = z[t] + h @ recur
+                    gate = _sigmoid(row[: 3 * k])
+                    c = gate[k : 2 * k] * c + gate[:k] * np.tanh(row[3 * k :])
+                    h = gate[2 * k :] * np.tanh(c)
+                    total[begin + t] += h @ out
+        return _sigmoid(total)
+
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         runs = {s: self._run(s, x, mask, True) for s in "fb"}
         both = np.concatenate([runs[s][0] for s in "fb"], axis=2)
@@ -357,20 +443,31 @@ def train(pages: int = 700, rounds: int = 14, seed: int = 20) -> BiLstm:
     return model
 
 
+#: Blocks of a batch of pages; a page of more is labelled alone, in slices.
+STEPS = 20_000
+
+
 def main_text(pages: list[str], model: BiLstm, limit: float = 0.5) -> list[str]:
     """Main texts, pages of like length labelled together."""
     cut = [blocks_of(p) for p in pages]
     order = sorted(range(len(pages)), key=lambda i: len(cut[i]))
     out = [""] * len(pages)
+
+    def write(i: int, scores: np.ndarray) -> None:
+        out[i] = "\n".join(b.text for b, s in zip(cut[i], scores) if s >= limit)
+
     at = 0
     while at < len(order):
-        # A batch holds some 20,000 steps, or one page.
-        size = max(1, min(256, 20_000 // max(1, len(cut[order[min(at + 255, len(order) - 1)]]))))
+        size = max(1, min(256, STEPS // max(1, len(cut[order[min(at + 255, len(order) - 1)]]))))
         group = order[at : at + size]
         at += size
+        if len(cut[group[-1]]) > STEPS:
+            for i in group:
+                write(i, model.scores_in_slices(cut[i]))
+            continue
         scores = model.scores(*batched([features(cut[i]) for i in group]))
         for j, i in enumerate(group):
-            out[i] = "\n".join(b.text for b, s in zip(cut[i], scores[:, j]) if s >= limit)
+            write(i, scores[:, j])
     return out
 
 

@@ -5,6 +5,7 @@ import itertools
 import math
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -532,6 +533,63 @@ def test_extraction(spark, labeller):
     assert html_extract.extract_main_text(pages.limit(0), labeller).count() == 0
 
 
+def texts_of(page):
+    return [b.text for b in html_extract.blocks_of(page)]
+
+
+def test_quotes_open_only_where_a_value_begins():
+    assert texts_of("<p title=it's>Hello world two.</p><p>Three don't stop.</p>") == ["Hello world two.", "Three don't stop."]
+    assert texts_of("<p it's a'b>One.</p><p x='a>b' y=\"c>d\" z = e>Two.</p>") == ["One.", "Two."]
+    assert texts_of('<p x="never ends>One.</p><p>Two.</p>') == ["One.", "Two."]
+    assert texts_of("<p/class=a/id='b'>One<br/>two.</p") == ["One two.</p"]
+    assert texts_of("a < b and b< c or <1> then <!DOCTYPE x>end <!-->kept<!-- - -->. <? x ?>") == ["a < b and b< c or <1> then end kept."]
+    assert texts_of("<p>1 &lt; 2 &amp; 3&nbsp;4</p><p>tail <b") == ["1 < 2 & 3 4", "tail <b"]
+    assert texts_of("x<a y='1' b>one <a z='2") == ["xone <a z='2"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>x" * 100_000, "<b>" * 60_000 + "<p>x" * 60_000, "<p><zz>" + "<b>" * 60_000 + "<div></div>" * 60_000, "<a " * 200_000, "<a href='x" * 100_000 + "'>", "<svg>x" * 60_000, "</x>" * 200_000 + "<i>" * 60_000 + "</u>" * 60_000, "<!-" * 200_000, "&" * 300_000, '<p a="' * 100_000],
+)
+def test_cutting_is_linear(page):
+    began = time.process_time()
+    html_extract.blocks_of(page)
+    assert time.process_time() - began < 10
+
+
+def test_very_long_pages(spark, labeller, monkeypatch):
+    sentences = " ".join(sentence(600 + k, 12).capitalize() + "." for k in range(40))
+    paragraphs = [f"{k}. {sentences}" for k in range(3000)]
+    page = "<html><body><nav><ul><li><a href=/>Home</a></li></ul></nav><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article><footer>(c) me</footer></body></html>"
+    assert len(page) > 4_000_000
+    made = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    want = "\n".join(paragraphs)
+    assert html_extract.extract_main_text(made, labeller).first()["text"] == want
+    monkeypatch.setattr(html_extract, "STEPS", 100)
+    assert html_extract.main_text([page, "<article><p>One here.</p></article>"], labeller)[0] == want
+
+
+def test_slices_score_as_the_whole(labeller):
+    blocks = html_extract.blocks_of(html_extract._Layouts(5).page()[0])
+    whole = labeller.scores(*html_extract.batched([html_extract.features(blocks)]))[:, 0]
+    assert labeller.scores_in_slices(blocks, 3) == pytest.approx(whole, abs=1e-5)
+
+
+def test_accuracy_on_pages(spark, sf, labeller):
+    """Blocks of the given pages: those inside the article, without adverts and comments, are the main text."""
+    right = total = 0
+    for r in spark.read.parquet(f"{sf}/pages.parquet").collect():
+        blocks = html_extract.blocks_of(r["html"])
+        if not blocks:
+            continue
+        inside = re.search(r"(?s)<(article|main)\b.*?</\1>", r["html"])
+        main = Counter(texts_of(inside[0])) if inside else Counter()
+        scores = labeller.scores(*html_extract.batched([html_extract.features(blocks)]))[:, 0]
+        right += sum((s >= 0.5) == (b.text in main) for b, s in zip(blocks, scores))
+        total += len(blocks)
+    assert total > 100 and right / total > 0.99
+
+
 # --- mixing ---
 
 
