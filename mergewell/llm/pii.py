@@ -2,13 +2,15 @@
 
 Exact base patterns (email, ip, card, phone) always stay.  Looser candidates around them are
 voted on by labelers - shape patterns, a gazetteer of cue words, the characters around the
-span, checksums - and expectation-maximisation over the vote patterns estimates how reliable
-each labeler is.  The posteriors train a softmax span classifier, which decides the added spans.
+span, checksums - and expectation-maximisation over the vote patterns of all spans estimates how
+reliable each labeler is.  The posteriors train a softmax span classifier over hashed features of the
+votes, of the span's shape and of the words around it, which decides the added spans.
 
 Scale: the text is read once, in Python workers that hold one batch; what leaves them is a row of
-spans per document and a vote pattern per candidate.  Patterns come from a fixed grid of discrete
-features, so the table of pattern counts that reaches the driver is bounded by the grid, never by
-the number of documents.
+spans per document with a vote pattern and hashed features for each.  Patterns come from a fixed grid,
+so the table of pattern counts that reaches the driver is bounded by the grid, never by the number of
+documents.  The classifier is fitted on the driver to a sample of some ``SAMPLE`` spans of each pattern, weighted by the
+pattern's count over all documents.  Finding spans takes a time of n log n in a text's length.
 
 Defined results: a null text is an empty text and gives zero counts, the hash of the empty string
 and ``spans = ''``; repeated rows each give a row; null ids stay null; other columns are ignored.
@@ -18,15 +20,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_texts
+from .common import drop_materialized, materialize, whole_texts
 
 KINDS = ("email", "ip", "card", "phone")
 CLASSES = (*KINDS, "none")
@@ -112,15 +116,32 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             n = sum("0" <= c <= "9" for c in m[0])
             if n >= 7:
                 found.append((m.start(), 2 if n >= 13 else 3, m.end()))
-    taken = sorted((s, e) for s, _, e in base)
-    out = []
-    for s, k, e in [*first, *sorted(found, key=lambda x: (x[0], -x[2], x[1]))]:
-        if all(e <= a or s >= b for a, b in taken):
-            taken.append((s, e))
+    free = _outside([(s, e) for s, _, e in base])
+    out = [x for x in first if free(x[0], x[2])]
+    free, last = _outside([(s, e) for s, _, e in [*base, *out]]), 0
+    for s, k, e in sorted(found, key=lambda x: (x[0], -x[2], x[1])):
+        if s >= last and free(s, e):
+            last = e
             out.append((s, k, e))
     return sorted(out)
 
 
+def _outside(spans: list[tuple[int, int]]):
+    """A test whether an interval overlaps none of ``spans``, by bisection of their union."""
+    starts, ends = [], []
+    for s, e in sorted(spans):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s), ends.append(e)
+
+    def free(s: int, e: int) -> bool:
+        i = bisect_left(starts, e) - 1
+        return i < 0 or ends[i] <= s
+
+    return free
+
+
 LABELERS = 6
 
 
@@ -160,20 +181,45 @@ def pattern(text: str, s: int, k: int, e: int, is_base: bool) -> str:
     return "".join(votes) + f"{'b' if is_base else 'c'}{k}{min(len(digits), 20) // 3}{min(groups, 5)}{side}{seps}"
 
 
+#: Buckets of the classifier's features; the first is always on.
+BUCKETS = 4096
+#: Spans of each pattern that the classifier learns from, on average.
+SAMPLE = 200
+_SHAPE = re.compile(r"[0-9]+|[^\W\d_]+|.", re.S)
+
+
+def span_features(text: str, s: int, e: int, code: str) -> list[int]:
+    """Hashed features of a span: its votes and grid code, its shape, and the words around it."""
+    parts = [f"d{min(len(p), 7)}" if p[0].isdigit() else "a" if p[0].isalpha() else p for p in _SHAPE.findall(text[s : min(e, s + 80)])]
+    before = _CUE_WORD.findall(text[max(0, s - 40) : s].lower())[-2:]
+    after = _CUE_WORD.findall(text[e : e + 24].lower())[:1]
+    names = [f"{i}{c}" for i, c in enumerate(code[: LABELERS + 6])] + ["s" + code[LABELERS + 6 :], "w" + "".join(parts)]
+    names += ["b" + a + b for a, b in zip(parts, parts[1:])][:12] + ["l" + w for w in before] + ["r" + w for w in after]
+    return [0, *sorted({1 + crc32(n.encode(errors="replace")) % (BUCKETS - 1) for n in names})]
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("pattern", pa.string()), ("features", pa.list_(pa.int32()))]))
+
+    def rows(text: str, spans: list[tuple[int, int, int]], is_base: bool) -> list[dict]:
+        out = []
+        for s, k, e in spans:
+            code = pattern(text, s, k, e, is_base)
+            out.append({"start": s, "kind": k, "end": e, "pattern": code, "features": span_features(text, s, e, code)})
+        return out
+
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        base, cand = [], []
-        for t in texts:
-            b = base_spans(t)
-            c = candidates(t, b)
-            base.append([{"start": s, "kind": k, "end": e, "pattern": pattern(t, s, k, e, True)} for s, k, e in b])
-            cand.append([{"start": s, "kind": k, "end": e, "pattern": pattern(t, s, k, e, False)} for s, k, e in c])
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("pattern", pa.string())]))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(base, kind), pa.array(cand, kind)], names=["doc_id", "base", "cand"])
+        for i in range(0, batch.num_rows, 500):
+            part = batch.slice(i, 500)
+            base, cand = [], []
+            for t in part.column(1).to_pylist():
+                b = base_spans(t)
+                base.append(rows(t, b, True))
+                cand.append(rows(t, candidates(t, b), False))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(base, kind), pa.array(cand, kind)], names=["doc_id", "base", "cand"])
 
 
-_SPAN = "array<struct<start:int,kind:int,end:int,pattern:string>>"
+_SPAN = "array<struct<start:int,kind:int,end:int,pattern:string,features:array<int>>>"
 
 
 def estimate_reliability(patterns: dict[str, int], rounds: int = 50) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -214,43 +260,53 @@ def estimate_reliability(patterns: dict[str, int], rounds: int = 50) -> tuple[di
     return dict(zip(keys, post)), acc
 
 
-def train_classifier(patterns: dict[str, int], post: dict[str, np.ndarray], rounds: int = 300) -> dict[str, int]:
-    """Softmax regression on the pattern's discrete features, fitted to the posteriors.
-
-    Returns the class of every pattern; a class other than none needs over half of the mass.
-    """
-    keys = sorted(patterns)
-    names: dict[str, int] = {}
-    rows = [[names.setdefault(f"{i}{c}", len(names)) for i, c in enumerate(k[: LABELERS + 6])] + [names.setdefault(f"s{k[LABELERS + 6 :]}", len(names))] for k in keys]
-    if not rows:
-        return {}
-    x = np.zeros((len(rows), len(names) + 1))
-    for i, r in enumerate(rows):
-        x[i, r] = 1
-    x[:, -1] = 1
-    y = np.array([post[k] for k in keys])
-    weight = np.log1p([patterns[k] for k in keys])
+def train_classifier(features: list[list[int]], target: np.ndarray, weight: np.ndarray, rounds: int = 150) -> np.ndarray:
+    """Weights ``(BUCKETS, classes)`` of a softmax regression of posteriors on sparse binary features, fitted with Adam."""
+    w = np.zeros((BUCKETS, len(CLASSES)))
+    if not features:
+        return w
+    sizes = np.array([len(f) for f in features])
+    row, column = np.repeat(np.arange(len(features)), sizes), np.concatenate([np.array(f) for f in features])
     weight = (weight / weight.sum())[:, None]
-    w = np.zeros((x.shape[1], len(CLASSES)))
-    for _ in range(rounds):
-        z = x @ w
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        w -= 4.0 * (x.T @ (weight * (p - y)) + 1e-4 * w)
+    first, second = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, rounds + 1):
+        p = class_shares(w, row, column, len(features))
+        pull = weight * (p - target)
+        grad = np.stack([np.bincount(column, weights=pull[row, k], minlength=BUCKETS) for k in range(w.shape[1])], axis=1) + 1e-5 * w
+        first = 0.9 * first + 0.1 * grad
+        second = 0.99 * second + 0.01 * grad**2
+        w -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    return w
+
+
+def class_shares(w: np.ndarray, row: np.ndarray, column: np.ndarray, rows: int) -> np.ndarray:
+    z = np.stack([np.bincount(row, weights=w[column, k], minlength=rows) for k in range(w.shape[1])], axis=1)
+    p = np.exp(z - z.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+def classify(w: np.ndarray, features: list[list[int]]) -> list[int]:
+    """The class of every span; one other than none needs over half of the mass."""
+    if not features:
+        return []
+    sizes = np.array([len(f) for f in features])
+    p = class_shares(w, np.repeat(np.arange(len(features)), sizes), np.concatenate([np.array(f) for f in features]), len(features))
     best = p.argmax(1)
-    return {k: int(b) if p[i, b] > 0.5 else NONE for i, (k, b) in enumerate(zip(keys, best))}
+    return np.where(p[np.arange(len(p)), best] > 0.5, best, NONE).tolist()
 
 
-def _write_spans(decided: dict[str, int]):
+def _write_spans(w: np.ndarray):
     def joined(spans: list[tuple[int, int, int]]) -> str:
         return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
-            for base, cand in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            found = batch.column(2).to_pylist()
+            classes = iter(classify(w, [x["features"] for cand in found for x in cand]))
+            for base, cand in zip(batch.column(1).to_pylist(), found):
                 kept = [(x["start"], x["kind"], x["end"]) for x in base]
-                more = [(x["start"], c, x["end"]) for x in cand if (c := decided.get(x["pattern"], NONE)) != NONE]
+                more = [(x["start"], c, x["end"]) for x, c in zip(cand, classes) if c != NONE]
                 count = Counter(k for _, k, _ in kept)
                 for i in range(4):
                     out[i].append(count[i])
@@ -266,13 +322,19 @@ def _write_spans(decided: dict[str, int]):
 def pii_spans(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: counts and hash of the base spans, and all spans."""
     scanned = materialize(whole_texts(docs).mapInArrow(_scan, f"doc_id long, base {_SPAN}, cand {_SPAN}"), "pii")
-    patterns = {
-        r[0]: r[1]
-        for r in scanned.select(F.explode(F.concat("base", "cand")).alias("x")).groupBy(F.col("x.pattern").alias("pattern")).count().collect()
-    }  # rows of a fixed feature grid
+    spans = scanned.select("doc_id", F.explode(F.concat("base", "cand")).alias("x")).select("doc_id", "x.*")
+    counts = materialize(spans.groupBy("pattern").count(), "piipatterns")
+    patterns = {r[0]: r[1] for r in counts.collect()}  # rows of a fixed feature grid
     post, _ = estimate_reliability(patterns)
-    decided = train_classifier(patterns, post)
-    return scanned.mapInArrow(
-        _write_spans(decided),
+    bucket = F.pmod(F.xxhash64("doc_id", "start", "end", "features"), F.lit(1_000_000))
+    chosen = spans.join(F.broadcast(counts), "pattern").where(bucket * F.col("count") < F.lit(SAMPLE * 1_000_000))
+    # About ``SAMPLE`` spans of each pattern of the grid; copies of a span hash alike only within a document.
+    sample = sorted((r["pattern"], r["features"]) for r in chosen.select("pattern", "features").collect())
+    taken = Counter(p for p, _ in sample)
+    weight = np.array([np.log1p(patterns[p]) / taken[p] for p, _ in sample])
+    w = train_classifier([f for _, f in sample], np.array([post[p] for p, _ in sample]), weight)
+    drop_materialized(counts)
+    return scanned.select("doc_id", "base", "cand").mapInArrow(
+        _write_spans(w),
         "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long",
     )

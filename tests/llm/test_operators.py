@@ -107,6 +107,62 @@ def test_joined_cards_are_added(spark):
     assert got["n_card"] == 0 and got["spans"] == "card:4:20,card:21:37" and got["n_added"] == 2
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab.@-+ 0123456789()[]atdo\n", max_size=120))
+def test_candidates_touch_nothing_taken(text):
+    base = pii.base_spans(text)
+    got = pii.candidates(text, base)
+    for i, (s, k, e) in enumerate(got):
+        assert all(e <= a or s >= b for a, _, b in base) and all(e <= a or s >= b for j, (a, _, b) in enumerate(got) if j != i)
+
+
+def test_many_numbers_take_little_time():
+    text = " ; ".join(f"030-555-{i:07d}" for i in range(100_000))
+    began = time.process_time()
+    base = pii.base_spans(text)
+    assert len(base) + len(pii.candidates(text, base)) == 100_000
+    assert time.process_time() - began < 20
+
+
+def test_span_classifier_against_dense_regression():
+    """Sparse steps equal those of the same regression on a dense matrix; held-out spans are told by words around them."""
+    rng = np.random.default_rng(15)
+    rows, target = [], []
+    for i in range(300):
+        phone = i % 2
+        text = f"{'call us at' if phone else 'order number'} 030-{rng.integers(100, 999)}-{rng.integers(1000, 9999)} {'today' if phone else 'shipped'}"
+        s, _, e = pii.candidates(text, pii.base_spans(text))[0]
+        rows.append(pii.span_features(text, s, e, "------c333ss_"))
+        target.append(np.eye(len(pii.CLASSES))[3 if phone else pii.NONE])
+    target = np.array(target)
+    w = pii.train_classifier(rows[:200], target[:200], np.ones(200), rounds=60)
+    x = np.zeros((200, pii.BUCKETS))
+    for i, r in enumerate(rows[:200]):
+        x[i, r] = 1
+    v, first, second = np.zeros_like(w), np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, 61):
+        z = x @ v
+        p = np.exp(z - z.max(1, keepdims=True))
+        grad = x.T @ ((p / p.sum(1, keepdims=True) - target[:200]) / 200) + 1e-5 * v
+        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
+        v -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    assert np.allclose(w, v, atol=1e-6)
+    assert pii.classify(w, rows[200:]) == target[200:].argmax(1).tolist() and pii.classify(w, []) == []
+
+
+def test_reliability_finds_the_bad_labeler():
+    """The first labeler is right in nine votes of ten, the third in six; the estimate must tell them apart."""
+    rng = np.random.default_rng(16)
+    patterns = Counter()
+    for _ in range(20_000):
+        true = int(rng.choice([3, pii.NONE]))
+        other = {3: pii.NONE, pii.NONE: 3}[true]
+        votes = [str(true if rng.random() < p else other) for p in (0.9, 0.8, 0.6)]
+        patterns["".join(votes) + "---c333ss_"] += 1
+    post, acc = pii.estimate_reliability(patterns)
+    assert acc[0] > acc[1] > acc[2] and post["334---c333ss_"][3] > 0.5 > post["443---c333ss_"][3]
+
+
 def test_long_digit_runs_are_linear():
     assert pii.base_spans("1" * 200_000) == []
 
