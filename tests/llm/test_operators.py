@@ -435,6 +435,88 @@ def test_brown_scores(docs, empty):
     assert brown_lm.lm_scores(empty).count() == 0
 
 
+def brute_brown(train, texts, seeds, classes, head):
+    """Scores of ``texts`` by the class model of ``train`` (lists of words), with plain loops; ``head`` most frequent words keep their class as a history."""
+    c = Counter(w for t in train for w in t)
+    ranked = sorted(c, key=lambda w: (-c[w], w))
+    octave = lambda w: math.floor(math.log2(c[w]) * 8)
+    inside = {w for w in ranked if sum(octave(x) >= octave(w) for x in ranked) <= head}
+    lead = [w for w in ranked if w in inside][:seeds]
+    classes = max(1, min(classes, len(lead)))
+    size = len(lead) + 2
+    symbol = lambda w: size - 1 if w is None else lead.index(w) if w in lead else size - 2
+    adjacent = Counter(p for t in train for p in zip([None, *t], [*t, None]))
+    pairs = np.zeros((size, size))
+    # Documents follow one another, so the pair of two ends is no pair.
+    for (a, b), n in adjacent.items():
+        pairs[symbol(a), symbol(b)] += n
+    of = brown_lm.exchange_classes(pairs, len(lead), classes)
+    kind = {w: int(of[i]) for i, w in enumerate(lead)}
+    small = lambda w: classes + 1 if w is None else kind[w] if w in lead else classes
+    table = np.zeros((classes + 2, classes + 2))
+    for (a, b), n in adjacent.items():
+        table[small(a), small(b)] += n
+    whole, alpha = table.sum(), brown_lm.PRIOR
+    for w in ranked:
+        if w not in lead:
+            best = None
+            for k in range(classes):
+                gain = 0.0
+                for (a, b), n in adjacent.items():
+                    if b == w:
+                        share = (table[small(a)].sum() + 0.5) / (whole + 0.5 * (classes + 2))
+                        gain += n * math.log((table[small(a), k] + alpha * share) / (table[:, k].sum() + alpha))
+                    if a == w:
+                        share = (table[:, small(b)].sum() + 0.5) / (whole + 0.5 * (classes + 2))
+                        gain += n * math.log((table[k, small(b)] + alpha * share) / (table[k].sum() + alpha))
+                if best is None or gain > best[0] + 1e-9:
+                    best = (gain, k)
+            kind[w] = best[1]
+    history = lambda w: "end" if w is None else kind[w] if w in inside else "rare"
+    follow = Counter()
+    for (a, b), n in adjacent.items():
+        follow[(history(a), "end" if b is None else kind[b])] += n
+    total = sum(follow.values())
+    kinds = [*range(classes), "end"]
+    column = {k: sum(n for (_, j), n in follow.items() if j == k) for k in kinds}
+    row = Counter()
+    for (h, _), n in follow.items():
+        row[h] += n
+    chance = lambda h, k: (follow[(h, k)] + alpha * (column[k] + 0.5) / (total + 0.5 * len(kinds))) / (row[h] + alpha)
+    members = {k: [w for w in ranked if kind[w] == k] for k in range(classes)}
+    tokens = {k: sum(c[w] for w in m) for k, m in members.items()}
+    unseen = {k: (sum(c[w] == 1 for w in m) + 1) / (tokens[k] + 2) for k, m in members.items()}
+
+    def chance_of(w, before):
+        h = "end" if before is None else history(before) if before in c else "rare"
+        if w is None:
+            return chance(h, "end")
+        if w in c:
+            return chance(h, kind[w]) * c[w] / tokens[kind[w]] * (1 - unseen[kind[w]])
+        return sum(chance(h, k) * unseen[k] for k in range(classes))
+
+    for before in (None, lead[0] if lead else None, ranked[-1], "\0unseen"):  # everything that may follow adds up to one
+        assert sum(chance_of(w, before) for w in [*ranked, "\0other", None]) == pytest.approx(1)
+    return [sum(math.log10(chance_of(w, b)) for b, w in zip([None, *t], [*t, None])) for t in texts]
+
+
+@pytest.mark.parametrize("seeds, classes, head", [(12, 4, 40), (1000, 5, 1000), (3, 2, 3)])
+def test_brown_model_against_brute_force(spark, seeds, classes, head):
+    rng = np.random.default_rng(17)
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(int(rng.integers(0, 25))):
+            kind = "ab"[len(words) % 2]
+            words.append(f"{kind}{min(int(rng.zipf(1.5)), 60)}")
+        rows.append((i, " ".join(words)))
+    rows += [(500, "a1 b1 never seen a1"), (503, None)]
+    got = {r["doc_id"]: r for r in brown_lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), seeds, classes, head).collect()}
+    train = [(t or "").split() for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    want = brute_brown(train, [(t or "").split() for _, t in rows], seeds, classes, head)
+    assert [got[i]["score"] for i, _ in rows] == pytest.approx(want, abs=1e-6)
+
+
 def test_exchange_finds_alternating_classes():
     pairs = np.zeros((9, 9))
     for a in range(8):
