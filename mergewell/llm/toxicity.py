@@ -1,44 +1,48 @@
 """Toxicity scores from class-conditional Kneser-Ney bigram models.
 
-One model is counted on toxic documents, one on ordinary ones.  A word backs off to its first six
-letters, these to the first four, and so on to the share of all words; a bigram backs off to its word.
-Each class discounts its own counts; what the discounts leave is dealt by shared counts of both classes,
-and an expression that the labelled sample holds too rarely (``RARE``), or whose classes differ too
-little (``ASSURED``), has only those, so it says no more than its backoff.  A document counts an
-expression once, and texts that repeat count once.  A document's score is a logistic curve over the
-difference of its length-normalised log-likelihoods, fitted by two-fold cross-scoring, so that no
-document calibrates a model that has counted it.
+One model is counted on toxic documents, one on ordinary ones.  A bigram backs off to its word, a word to
+its first six letters, these to the first four.  Each class discounts its own counts by ``DISCOUNT``, and what
+that takes goes to the lower order; the lowest order is shared by both classes and counts continuations: in how
+many distinct bigrams of either class the words below a prefix end.  Each expression's class estimates are mixed
+(log-linearly) with the backoff by the posterior probability that the classes differ in it at all: a beta-binomial
+split of its documents against the split of its history, with prior odds of one to the number of expressions; where
+the evidence is not for a difference, the backoff holds, as for every expression of one document.  So a rare
+expression says little more than its backoff, without a least count.  A document counts an expression once, and
+texts that repeat count once.  A document's score is a logistic curve over the difference of its
+length-normalised log-likelihoods, fitted by two-fold cross-scoring, so that no document calibrates a model that has counted it.
 
 Scale: the classifier learns from a bounded sample of labelled rows (``SAMPLE``, dealt by a hash of the
-id), whose ids are the only thing broadcast; counts are summed in Spark, and the driver gets only
-expressions over ``RARE`` of that sample.  Scoring is one pass that leaves texts where they are.
+id), whose ids are the only thing broadcast; the models are estimated in Spark, and the driver gets only
+expressions of that sample whose log ratio differs by ``DIGITS`` from their backoff's.  Scoring is one pass that leaves
+texts where they are.
 
 Defined results: a null or empty text has no evidence and gets the curve's value at 0; with no label,
 or labels of one class only, every score is the share of toxic labels (0 without labels); ids with
-labels that differ count as toxic; null ids and null labels teach nothing; other columns are ignored.
+labels that differ count as toxic; null ids and null labels teach nothing; a score at the threshold is predicted
+toxic; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from math import log
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_materialized, id_remainder, materialize, whole_texts
 
 SAMPLE = 20_000
-RARE = 10
-#: Taken off every count of a class; what it takes is dealt by the shared counts.
+#: Taken off every count of a class; what it takes is dealt by the lower order.
 DISCOUNT = 0.75
-#: Least likelihood-ratio statistic for a difference between the classes; below it, both use shared counts.
-ASSURED = 14.0
+#: Weight, in documents, of the history's split when an expression's own is estimated.
+STRENGTH = 2.0
+#: Log ratios nearer than this to their backoff's are taken for equal.
+DIGITS = 1e-3
 THRESHOLD = 0.3
 REMEMBERED = 100_000
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -64,8 +68,10 @@ class _Ids(dict):
         return n
 
 
-ROOT = 1
-BIGRAM, TREE = 0, 1
+#: Above the shortest prefixes, and before the first word.
+ROOT, START = 1, 2
+#: Kinds of counts: what follows a word, and what stands below a prefix, the shortest prefix last.
+BIGRAM, WORD = 0, 1
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,88 +91,109 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t, toxic, fold in zip(part.column(0).cast(pa.binary()).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
                 words = [w for w in map(ids.__getitem__, t.split()) if w[0]]
                 slot = 2 * fold + (0 if toxic else 1)
-                once = {(BIGRAM, a[0], b[0], slot) for a, b in zip(words, words[1:])}
+                once = {(BIGRAM, a, b[0], slot) for a, b in zip([START, *(w[0] for w in words)], words)}
                 for path in set(words):
-                    once.update((TREE, parent, child, slot) for child, parent in zip(path, (*path[1:], ROOT)))
+                    once.update((WORD + k, parent, child, slot) for k, (child, parent) in enumerate(zip(path, (*path[1:], ROOT))))
                 found.update(once)
-            if len(found) > 500_000:
-                yield out()
+                if len(found) > 500_000:
+                    yield out()
     yield out()
 
 
-def _statistic(t: float, o: float, all_t: float, all_o: float) -> float:
-    """Likelihood-ratio statistic of the counts ``t, o`` against the split ``all_t, all_o``."""
-    n, whole = t + o, all_t + all_o
-    if not n or not whole:
-        return 0.0
-    out = 0.0
-    for c, a in ((t, all_t), (o, all_o)):
-        if c:
-            out += c * log(c * whole / (n * a)) if a else 0.0
-    return 2 * out
+def _log_gamma(x: Column) -> Column:
+    """Stirling's series after seven steps up."""
+    z = x + 7
+    out = (z - 0.5) * F.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * z * z * z)
+    for i in range(7):
+        out = out - F.log(x + i)
+    return out
+
+
+def _evidence(t: Column, o: Column, all_t: Column, all_o: Column) -> Column:
+    """Log Bayes factor of a split of its own (beta-binomial) against the split ``all_t, all_o``."""
+    q = all_t / (all_t + all_o)
+    a, b, s = q * STRENGTH, (1 - q) * STRENGTH, F.lit(STRENGTH)
+    own = _log_gamma(t + a) - _log_gamma(a) + _log_gamma(o + b) - _log_gamma(b) - _log_gamma(t + o + s) + _log_gamma(s)
+    return F.when((all_t > 0) & (all_o > 0), own - t * F.log(q) - o * F.log(1 - q)).otherwise(0.0)
+
+
+#: The models: one of each fold's other half, and one of all.
+FITS = ((1,), (0,), (0, 1))
+
+
+def class_ratios(grams: DataFrame) -> DataFrame:
+    """``fit, kind, h, w, ratio, lower``: log ratio of the classes for nodes and bigrams of every model, and that of the backoff."""
+    sums = [F.struct(F.lit(i).alias("fit"), sum(F.col(f"t{f}") for f in folds).cast("double").alias("t"), sum(F.col(f"o{f}") for f in folds).cast("double").alias("o")) for i, folds in enumerate(FITS)]
+    used = grams.select("kind", "h", "w", F.explode(F.array(*sums)).alias("x")).select("x.fit", "kind", "h", "w", "x.t", "x.o").where("t + o > 0")
+    taken = lambda c: F.sum(F.least(c, F.lit(DISCOUNT)))
+    above = used.groupBy("fit", "kind", "h").agg(F.sum("t").alias("all_t"), F.sum("o").alias("all_o"), taken("t").alias("taken_t"), taken("o").alias("taken_o"), F.count("*").alias("children"))
+    above = materialize(above, "histories")
+    sizes = above.groupBy("fit", "kind").agg(F.sum("children").alias("expressions"))
+
+    def weighed(rows: DataFrame) -> DataFrame:
+        """``rows`` with their history's counts and ``sure``, the probability that the classes differ."""
+        rows = rows.join(above.drop("children"), ["fit", "kind", "h"]).join(F.broadcast(sizes), ["fit", "kind"])  # a row for each model and kind
+        evidence = F.when((F.col("t") + F.col("o") > 1) & (F.col("all_t") > 0) & (F.col("all_o") > 0), _evidence(F.col("t"), F.col("o"), F.col("all_t"), F.col("all_o"))).otherwise(0.0)
+        return rows.withColumn("evidence", evidence).withColumn("sure", F.when(F.col("evidence") > 1e-6, 1 / (1 + F.col("expressions") * F.exp(-F.col("evidence")))).otherwise(0.0))
+
+    def log_share(c: str, low: Column) -> Column:
+        """Log of the class's discounted estimate, mixed with the log of ``low``."""
+        kneser_ney = (F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + F.col(f"taken_{c}") * F.exp(low)) / F.col(f"all_{c}")
+        return F.when(F.col("sure") > 0, F.col("sure") * F.log(kneser_ney) + (1 - F.col("sure")) * low).otherwise(low)
+
+    # Continuations: distinct bigrams that end in the words below a node.
+    ends = used.where(F.col("kind") == BIGRAM).groupBy("fit", "w").agg(F.count("*").alias("n"))
+    levels = []
+    for k in range(len(PREFIXES) + 1):
+        edges = materialize(used.where(F.col("kind") == WORD + k).join(ends, ["fit", "w"]), "nodes")
+        levels.append(edges)
+        ends = edges.groupBy("fit", F.col("h").alias("w")).agg(F.sum("n").alias("n"))
+    told, parent = [], ends.select("fit", F.col("w").alias("h"), F.col("n").alias("of"), F.lit(0.0).alias("up_t"), F.lit(0.0).alias("up_o"))
+    for edges in reversed(levels):
+        low = F.log(F.col("n") / F.col("of"))
+        level = weighed(edges).join(parent, ["fit", "h"]).select("fit", "kind", "h", "w", "n", (F.col("up_t") + log_share("t", low)).alias("pt"), (F.col("up_o") + log_share("o", low)).alias("po"), (F.col("up_t") - F.col("up_o")).alias("lower"))
+        level = materialize(level, "level")
+        parent = level.select("fit", F.col("w").alias("h"), F.col("n").alias("of"), F.col("pt").alias("up_t"), F.col("po").alias("up_o"))
+        told.append(level.drop("n"))
+    pairs = weighed(used.where((F.col("kind") == BIGRAM) & (F.col("t") + F.col("o") > 1))).where("sure > 0")
+    pairs = pairs.join(parent.select("fit", F.col("h").alias("w"), "up_t", "up_o"), ["fit", "w"])
+    told.append(pairs.select("fit", "kind", "h", "w", log_share("t", F.col("up_t")).alias("pt"), log_share("o", F.col("up_o")).alias("po"), (F.col("up_t") - F.col("up_o")).alias("lower")))
+    out = told[0]
+    for more in told[1:]:
+        out = out.unionByName(more)
+    return out.select("fit", "kind", "h", "w", (F.col("pt") - F.col("po")).alias("ratio"), "lower")
+
+
+def _codes(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """One 64-bit code for each bigram."""
+    return (h.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (w.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1))
 
 
 class KneserNey:
     """Log-likelihood ratios of the two class models, for the nodes of words and for bigrams."""
 
-    def __init__(self, tree: dict[str, np.ndarray], bigrams: dict[str, np.ndarray], parents: dict[str, np.ndarray]):
-        """Frequent rows ``h, w, t, o`` of both kinds; ``parents`` has ``kind, h, t, o, tt, to`` (counts, and what the discount takes of them)."""
-        d = DISCOUNT
-        of = {(k, h): i for i, (k, h) in enumerate(zip(parents["kind"].tolist(), parents["h"].tolist()))}
-        count = [parents["t"].astype(float), parents["o"].astype(float)]
-        taken = [parents["tt"].astype(float), parents["to"].astype(float)]
-
-        def given(kind: int, h: int, t: int, o: int, lower: tuple[float, float]) -> tuple[float, float]:
-            """Probabilities in both classes of a child seen ``t`` and ``o`` times, below ``h``."""
-            i = of.get((kind, h))
-            if i is None or _statistic(t, o, count[0][i], count[1][i]) < ASSURED:
-                return lower
-            return tuple((max(c - d, 0.0) + taken[x][i] * low) / count[x][i] if count[x][i] else low for x, (c, low) in enumerate(zip((t, o), lower)))
-
-        below: dict[int, list[tuple[int, int, int]]] = {}
-        for h, w, t, o in zip(*(tree[c].tolist() for c in ("h", "w", "t", "o"))):
-            below.setdefault(h, []).append((w, t, o))
-        p = {ROOT: (1.0, 1.0)}
-        ready = [ROOT]
-        while ready:
-            h = ready.pop()
-            i = of.get((TREE, h))
-            for w, t, o in below.get(h, ()):
-                if w in p or i is None:
-                    continue
-                shared = (t + o) / (count[0][i] + count[1][i])
-                below_h = given(TREE, h, t, o, (shared, shared))
-                p[w] = (p[h][0] * below_h[0], p[h][1] * below_h[1])
-                ready.append(w)
-        del p[ROOT]
-        self.nodes = np.array(sorted(p), dtype=np.int64)
-        both = np.array([p[w] for w in self.nodes.tolist()]).reshape(-1, 2)
-        self.ratio = np.log(both[:, 0] / both[:, 1]) if len(both) else np.zeros(0)
-        place = {w: i for i, w in enumerate(self.nodes.tolist())}
-        pairs = {}
-        for h, w, t, o in zip(*(bigrams[c].tolist() for c in ("h", "w", "t", "o"))):
-            if h in place and w in place:
-                pt, po = given(BIGRAM, h, t, o, p[w])
-                if (pt, po) != p[w]:
-                    pairs[place[h] * len(place) + place[w]] = np.log(pt / po)
-        self.code = np.array(sorted(pairs), dtype=np.int64)
-        self.pair = np.array([pairs[c] for c in self.code.tolist()])
+    def __init__(self, kind: np.ndarray, h: np.ndarray, w: np.ndarray, ratio: np.ndarray):
+        node = kind != BIGRAM
+        order = np.argsort(w[node])
+        self.nodes, self.ratio = w[node][order], ratio[node][order]
+        code = _codes(h[~node], w[~node])
+        order = np.argsort(code)
+        self.code, self.pair = code[order], ratio[~node][order]
 
     def document(self, paths: np.ndarray) -> tuple[float, int]:
         """Sum of the ratios over the words, a row of ids each, and their number."""
         n = len(paths)
-        if not n or not len(self.nodes):
-            return 0.0, n
-        at = np.minimum(np.searchsorted(self.nodes, paths), len(self.nodes) - 1)
-        known = self.nodes[at] == paths
-        deepest = known.argmax(axis=1)
-        rows = np.arange(n)
-        ratio = np.where(known[rows, deepest], self.ratio[at[rows, deepest]], 0.0)
-        word, seen = at[:, 0], known[:, 0]
-        if n > 1 and len(self.code):
-            code = np.where(seen[:-1] & seen[1:], word[:-1].astype(np.int64) * len(self.nodes) + word[1:], -1)
-            i = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
-            ratio[1:] = np.where(self.code[i] == code, self.pair[i], ratio[1:])
+        if not n:
+            return 0.0, 0
+        ratio = np.zeros(n)
+        if len(self.nodes):
+            for column in range(paths.shape[1] - 1, -1, -1):  # the deepest known node holds
+                at = np.minimum(np.searchsorted(self.nodes, paths[:, column]), len(self.nodes) - 1)
+                ratio = np.where(self.nodes[at] == paths[:, column], self.ratio[at], ratio)
+        if len(self.code):
+            code = _codes(np.concatenate([[START], paths[:-1, 0]]), paths[:, 0])
+            at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+            ratio = np.where(self.code[at] == code, self.pair[at], ratio)
         return float(ratio.sum()), n
 
 
@@ -206,20 +233,14 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
         return w
 
 
-def _fit(grams: DataFrame, folds: tuple[int, ...], rare: int) -> KneserNey:
-    t = sum((F.col(f"t{f}") for f in folds), F.lit(0))
-    o = sum((F.col(f"o{f}") for f in folds), F.lit(0))
-    used = grams.select("kind", "h", "w", t.alias("t"), o.alias("o")).where("t + o > 0")
-    parents = used.groupBy("kind", "h").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.sum(F.least("t", F.lit(DISCOUNT))).alias("tt"), F.sum(F.least("o", F.lit(DISCOUNT))).alias("to"))
+def _models(grams: DataFrame) -> list[KneserNey]:
+    ratios = class_ratios(grams)
+    told = ratios.where(F.abs(F.col("ratio") - F.col("lower")) > DIGITS).select("fit", "kind", "h", "w", "ratio").toArrow()  # of the sample's expressions
+    columns = [told.column(c).to_numpy() for c in ("fit", "kind", "h", "w", "ratio")]
+    return [KneserNey(*(c[columns[0] == i] for c in columns[1:])) for i in range(len(FITS))]
 
-    def arrays(df: DataFrame) -> dict[str, np.ndarray]:
-        table = df.where(F.col("t") + F.col("o") >= rare).toArrow()  # at most the sample's words over ``rare``
-        return {c: table.column(c).to_numpy() for c in table.column_names}
 
-    return KneserNey(arrays(used.where(F.col("kind") == TREE)), arrays(used.where(F.col("kind") == BIGRAM)), arrays(parents))
-
-
-def toxicity_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rare: int = RARE):
+def toxicity_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     """A function of a word-id array, or a constant; learns from ids whose remainder is not 2."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     usable = usable.where(id_remainder(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -230,11 +251,11 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rar
     share = min(1.0, sample / rows)
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     chosen = usable.where(bucket < int(share * 1_000_000)).select("doc_id", "toxic")
-    texts = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic").distinct().withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))  # about ``sample`` ids at most
+    texts = whole_texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic").distinct().withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))  # about ``sample`` ids at most
     slots = {f"{c}{f}": F.sum(F.when(F.col("slot") == 2 * f + k, F.col("n")).otherwise(0)) for f in (0, 1) for k, c in enumerate("to")}
     grams = materialize(texts.mapInArrow(_grams, "kind int, h long, w long, slot int, n long").groupBy("kind", "h", "w").agg(*[v.alias(k) for k, v in slots.items()]), "grams")
-    # A fold holds half of the sample, so an expression is rare there at half the count.
-    halves = [_fit(grams, (1 - f,), max(2, rare // 2)) for f in (0, 1)]
+    *halves, model = _models(grams)
+    drop_materialized(grams)
 
     def score_folds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids()
@@ -248,8 +269,6 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rar
     if not len(y) or y.min() == y.max():
         return None, float(toxic) / rows
     curve = fit_curve(x, y)
-    model = _fit(grams, (0, 1), rare)
-    drop_materialized(grams)
     return (model, curve), 0.0
 
 

@@ -192,6 +192,109 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.toxicity_scores(empty, marks).count() == 0
 
 
+def brute_tox_ratio(train):
+    """Log ratio of the classes of a word after another, from ``(words, toxic)`` documents, by plain loops."""
+    d, levels = toxicity.DISCOUNT, len(toxicity.PREFIXES)
+    path = lambda w: [w, *(f"{k}<{w[:k]}" for k in toxicity.PREFIXES), "root"]
+    count = {k: (Counter(), Counter()) for k in ("pair", *range(levels + 1))}
+    for words, y in train:
+        count["pair"][y].update(set(zip(["start", *words], words)))
+        for k in range(levels + 1):
+            count[k][y].update({(path(w)[k + 1], path(w)[k]) for w in words})
+    ends = Counter(w for _, w in set(count["pair"][0]) | set(count["pair"][1]))
+    below = Counter()
+    for w, n in ends.items():
+        for node in path(w):
+            below[node] += n
+
+    def estimate(kind, h, w, low):
+        """The two classes' log shares of ``w`` under ``h``, mixed with their backoffs ``low``."""
+        c = count[kind]
+        n = [x[(h, w)] for x in c]
+        every = [sum(v for (g, _), v in x.items() if g == h) for x in c]
+        taken = [sum(min(v, d) for (g, _), v in x.items() if g == h) for x in c]
+        if sum(n) <= 1 or not all(every):
+            return low
+        q, s = every[1] / sum(every), toxicity.STRENGTH
+        a, b = q * s, (1 - q) * s
+        g = math.lgamma
+        own = g(n[1] + a) - g(a) + g(n[0] + b) - g(b) - g(sum(n) + s) + g(s) - n[1] * math.log(q) - n[0] * math.log(1 - q)
+        if own <= 1e-6:
+            return low
+        sure = 1 / (1 + len(set(c[0]) | set(c[1])) * math.exp(-own))
+        return [sure * math.log((max(n[y] - d, 0) + taken[y] * math.exp(low[y])) / every[y]) + (1 - sure) * low[y] for y in (0, 1)]
+
+    def ratio(h, w):
+        found, p = 0.0, [0.0, 0.0]
+        for k in range(levels, -1, -1):
+            parent, node = path(w)[k + 1], path(w)[k]
+            if not below[node]:
+                return found
+            low = math.log(below[node] / below[parent])
+            step = estimate(k, parent, node, [low, low])
+            p = [p[0] + step[0], p[1] + step[1]]
+            found = p[1] - p[0] if abs(step[1] - step[0]) > toxicity.DIGITS else found
+        if (h, w) in count["pair"][0] or (h, w) in count["pair"][1]:
+            step = estimate("pair", h, w, p)
+            if abs((step[1] - step[0]) - (p[1] - p[0])) > toxicity.DIGITS:
+                return step[1] - step[0]
+        return found
+
+    return ratio
+
+
+def test_toxicity_against_brute_force(spark):
+    rng = np.random.default_rng(18)
+    bad = ["vilely", "vileness", "rotten", "so rotten", "filth"]
+    rows, labels = [], []
+    for i in range(260):
+        y = int(i % 4 == 0)
+        words = [str(w) for w in rng.choice([f"wording{k}" for k in range(12)] + [f"x{k}y" for k in range(25)], rng.integers(0, 25))]
+        if y and rng.random() < 0.9:
+            words += [str(rng.choice(bad)) for _ in range(rng.integers(1, 3))]
+            rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        if i % 5:
+            labels.append((i, y))
+    labels += [(1, 1), (2, None), (None, 1), (9999, 1)]  # two labels, none, no id, no document
+    rows += [(1000, None), (1001, ""), (1002, "... !"), (1003, "so rotten wording3 unheard")]
+    got = {r["doc_id"]: r for r in toxicity.toxicity_scores(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    marks = {}
+    for i, y in labels:
+        if i is not None and y is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            marks[i] = max(marks.get(i, 0), y)
+    texts = dict(rows)
+    learned = sorted({(texts[i] or "", y) for i, y in marks.items() if i in texts})
+    fold = [spark_hash(("s", t)) % 2 for t, _ in learned]
+    halves = [brute_tox_ratio([(t.split(), y) for (t, y), f in zip(learned, fold) if f != k]) for k in (0, 1)]
+
+    def features(text, ratio):
+        words = [w.strip("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())) for w in (text or "").split()]
+        words = [w for w in words if w]
+        total = sum(ratio(h, w) for h, w in zip(["start", *words], words))
+        return (total / len(words), total / len(words) ** 0.5) if words else (0.0, 0.0)
+
+    x = np.array([features(t, halves[f]) for (t, _), f in zip(learned, fold)])
+    curve = toxicity.fit_curve(x, np.array([float(y) for _, y in learned]))
+    whole = brute_tox_ratio([(t.split(), y) for t, y in learned])
+    for i, t in rows:
+        a, b = features(t, whole)
+        assert got[i]["score"] == pytest.approx(1 / (1 + math.exp(-(a * curve[0] + b * curve[1] + curve[2]))), abs=1e-4)
+        assert got[i]["predicted"] == int(got[i]["score"] >= 0.3)
+    held = [i for i in range(260) if got[i]["held_out"]]
+    assert np.mean([got[i]["predicted"] == int(i % 4 == 0) for i in held]) > 0.9
+
+
+def test_toxicity_of_one_class_and_ties(spark, docs):
+    mark = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int")
+    learn = [i for i, _ in TEXTS if i is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    for y in (0, 1):
+        assert {(r["score"], r["predicted"]) for r in toxicity.toxicity_scores(docs, mark([(i, y) for i in learn])).collect()} == {(float(y), y)}
+    share = {(r["score"], r["predicted"]) for r in toxicity.with_toxicity(docs, docs.limit(0), mark([(learn[0], 1), (learn[1], 0)])).select("score", (F.col("score") >= 0.3).cast("int").alias("predicted")).collect()}
+    assert share == {(0.5, 1)}
+    assert {r["predicted"] for r in toxicity.toxicity_scores(docs, mark([]), threshold=0.0).collect()} == {1}
+
+
 # --- urls ---
 
 
