@@ -149,12 +149,74 @@ def residue(result: DataFrame) -> DataFrame:
     return result.where(VALID).agg(_n(artifact).alias("artifacts"), _n(place).alias("places"), _n(name.contains("(")).alias("parentheses"), _n(F.col("original_name").contains("·")).alias("bullets"))
 
 
+def residual_labels(result: DataFrame, most: int = 20) -> DataFrame:
+    """The ``most`` frequent labels with each trace that cleaning should have removed: ``kind, label, n``."""
+    name, original = F.col("company_name"), F.col("original_name")
+    tests = {
+        "artifact": (name, name.rlike("Full-time|Part-time|Contract|Internship|Seasonal")),
+        "place": (name, name.rlike(", [A-Z][a-z]+$") | name.rlike(", (India|Mumbai|Delhi|Bangalore|Chennai|Pune)")),
+        "parentheses": (name, name.contains("(")),
+        "bullet": (original, original.contains("·")),
+    }
+    found = F.filter(F.array(*[F.when(t, F.struct(F.lit(k).alias("kind"), c.alias("label"))) for k, (c, t) in tests.items()]), lambda x: x.isNotNull())
+    counted = result.where(VALID).select(F.explode(found).alias("x")).groupBy("x.kind", "x.label").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "label"))
+    return counted.withColumn("place", place).where(F.col("place") <= most).drop("place")
+
+
 def report_groups(results: DataFrame, first: int = 5, then: int = 10) -> DataFrame:
-    """Groups for the report: validated ones and plain ones, each by least score, then size."""
+    """Groups for the report, numbered: the best validated ones, the best plain ones, then others until there are ``first + then``.
+
+    The best have the highest least score, then most members.
+    """
     members = results.where("member_role = 'duplicate'")
     g = members.groupBy("primary_id", "primary_label").agg(F.min("duplicate_score").alias("least"), F.count("*").alias("size"), F.bool_or(F.col("ai_decision").isNotNull()).alias("validated"))
-    w = Window.partitionBy("validated").orderBy("least", "size", "primary_id")
-    return g.withColumn("place", F.row_number().over(w)).where(F.when(F.col("validated"), F.col("place") <= first).otherwise(F.col("place") <= then))
+    best = [F.desc("least"), F.desc("size"), F.col("primary_id")]
+    few = g.where("validated").orderBy(*best).limit(first + then).unionAll(g.where("NOT validated").orderBy(*best).limit(first + then))
+    few = few.withColumn("place", F.row_number().over(Window.partitionBy("validated").orderBy(*best)))  # over these rows alone
+    tier = F.when(F.col("validated") & (F.col("place") <= first), 0).when(~F.col("validated") & (F.col("place") <= then), 1).otherwise(2)
+    number = F.row_number().over(Window.orderBy(tier, *best))
+    return few.withColumn("number", number).where(F.col("number") <= first + then).drop("place")
+
+
+def report_lines(results: DataFrame) -> DataFrame:
+    """The report as text, ``number, rank, line``, to be read in the order of the first two and the line."""
+    groups = F.broadcast(report_groups(results).select("number", "primary_id", "validated"))  # 15 rows
+    mine = results.where("member_role = 'duplicate'").join(groups, "primary_id")
+    title = F.concat(F.lit("Group "), F.col("number").cast("string"), F.when(F.col("validated"), " (AI-validated):").otherwise(":"))
+    primary = F.format_string('  Primary: ID=%d, Label="%s"', "primary_id", "primary_label")
+    judged = F.when(F.col("ai_decision").isNotNull(), F.concat(F.lit(", AI="), F.col("ai_decision"))).otherwise("")
+    member = F.concat(F.format_string('  Duplicate: ID=%d, Label="%s", Score=%.3f', "member_id", "member_label", F.col("duplicate_score").cast("double")), judged)
+    heads = mine.select("number", F.explode(F.array(F.struct(F.lit(0).alias("rank"), title.alias("line")), F.struct(F.lit(1).alias("rank"), primary.alias("line")))).alias("x")).distinct()
+    return heads.select("number", "x.rank", "x.line").unionAll(mine.select("number", F.lit(2).alias("rank"), member.alias("line")))
+
+
+def prefix_neighbour_pairs(result: DataFrame, width: int = 10, most: int = 30) -> DataFrame:
+    """The first ``most`` pairs of primaries that begin alike but stand in different groups, by prefix and group ids."""
+    one = result.where("is_primary = 1 AND is_valid = 1").select(F.substring(F.lower("company_name"), 1, width).alias("prefix"), "group_id", "company_name").where(F.char_length("prefix") == width)
+    # A pair among the first ones has both its rows among the first of their prefix.
+    one = one.withColumn("place", F.row_number().over(Window.partitionBy("prefix").orderBy("group_id"))).where(F.col("place") <= most + 1)
+    side = lambda x: one.select("prefix", F.col("group_id").alias(f"group_{x}"), F.col("company_name").alias(f"name_{x}"))
+    return side("a").join(side("b"), "prefix").where("group_a < group_b").orderBy("prefix", "group_a", "group_b").limit(most)
+
+
+def regression_tiers(result: DataFrame, generic: list[int], mixed: list[int]) -> DataFrame:
+    """Named groups against the most members that their tier may have, 15 or 30, with the primary's name."""
+    spec = result.sparkSession.createDataFrame([("generic", g) for g in generic] + [("mixed", g) for g in mixed], "tier string, group_id long")
+    out = spec.join(group_sizes(result.join(F.broadcast(spec.select("group_id").distinct()), "group_id", "left_semi")), "group_id", "left")
+    n = F.coalesce("members", F.lit(0))
+    status = F.when(F.col("tier") == "generic", F.when(n <= 15, "FIXED").otherwise(F.concat(F.lit("STILL BIG ("), n.cast("string"), F.lit(")")))).otherwise(F.when(n <= 30, "OK").otherwise("STILL BIG"))
+    return out.select("tier", "group_id", n.alias("members"), status.alias("status"), F.substring("primary_name", 1, 60).alias("primary_name"))
+
+
+def keyword_groups(result: DataFrame, keywords: list[str]) -> DataFrame:
+    """For each keyword, in either name of valid rows: distinct groups, and the members of the largest; in one pass."""
+    hit = lambda w: F.lower("company_name").contains(F.lower(w)) | F.lower("original_name").contains(F.lower(w))
+    words = F.array(*[F.lit(w) for w in keywords])
+    sized = result.where(VALID).withColumn("keyword", F.explode(F.filter(words, hit))).groupBy("keyword", "group_id").agg(F.count("*").alias("n"))
+    found = sized.groupBy("keyword").agg(F.count("*").alias("groups"), F.max("n").alias("largest"))
+    every = result.sparkSession.createDataFrame([(w,) for w in keywords], "keyword string")
+    return every.join(found, "keyword", "left").select("keyword", F.coalesce("groups", F.lit(0)).alias("groups"), F.coalesce("largest", F.lit(0)).alias("largest"))
 
 
 def ordered_search(results: DataFrame, keyword: str) -> DataFrame:

@@ -82,7 +82,10 @@ _add(
 _add(
     "title_and_initials",
     _on_masters(lambda m: m.where("label IS NOT NULL").select("id", T.title_case(F.col("label")).alias("title"), T.initials(F.col("label")).alias("initials"))),
+    _M + O.TITLE_AND_INITIALS,
 )
+for _p in (P.AGGRESSIVE, P.ULTRA, P.BALANCED):
+    _add(f"clean_hostile_{_p.name}", lambda spark, d, p=_p: L.flagged_records(spark.createDataFrame([(i, x, "Company") for i, x in enumerate(O.HOSTILE)], "id long, label string, type string"), p).select("id", "company_name", "filter_reason", "norm"), O.hostile(_p))
 
 # Blocks and pairs.
 _P3 = "SELECT 'prefix3' AS strategy, substr(norm, 1, 3) AS key, id, norm FROM flagged WHERE length(norm) >= 3"
@@ -101,16 +104,17 @@ _add(
     _BLOCKS + ", ok AS (SELECT DISTINCT strategy, key, norm FROM keys JOIN sizes USING (strategy, key) WHERE size BETWEEN 2 AND 500) SELECT DISTINCT x.norm AS a, y.norm AS b FROM ok x JOIN ok y ON x.strategy = y.strategy AND x.key = y.key AND x.norm < y.norm",
 )
 for _p in (P.ULTRA, P.IMPROVED, P.BALANCED):
-    _add(f"candidate_pairs_{_p.name}", _on_masters(lambda m, p=_p: blocking.candidate_pairs(blocking.usable_members(_names(m, p), p), p).select("a", "b", "ab", "ba")))
+    _add(f"candidate_pairs_{_p.name}", _on_masters(lambda m, p=_p: blocking.candidate_pairs(blocking.usable_members(_names(m, p), p), p, prune=False).select("a", "b", "ab", "ba")), O.candidate_pairs(_p))
 _add(
     "similarity_metrics",
-    _on_masters(lambda m: blocking.candidate_pairs(blocking.usable_members(_names(m, P.BALANCED), P.BALANCED), P.BALANCED).withColumn("m", metric_columns(F.col("a"), F.col("b"), P.BALANCED.weights)).select("a", "b", *[F.round(f"m.{c}", 6).alias(c) for c in ("tsr", "tse", "rat", "par", "score")])),
+    _on_masters(lambda m: blocking.candidate_pairs(blocking.usable_members(_names(m, P.BALANCED), P.BALANCED), P.BALANCED, prune=False).withColumn("m", metric_columns(F.col("a"), F.col("b"), P.BALANCED.weights)).select("a", "b", *[F.round(f"m.{c}", 6).alias(c) for c in ("tsr", "tse", "rat", "par", "score")])),
 )
 
-# Components of orders and the parts on their lines, over every row of lineitem; tested against brute force.
+# Components of orders and the parts on their lines, over every row of lineitem.
 _add(
     "connected_components",
     lambda spark, d: connected_components(spark.read.parquet(f"{d.rstrip('/')}/lineitem.parquet").select(F.col("l_orderkey").alias("id_a"), (F.col("l_partkey") + 1_000_000).alias("id_b"))),
+    O.COMPONENTS,
 )
 
 # Whole profiles.
@@ -127,6 +131,32 @@ _add("dedup_status_counts", _on_masters(lambda m: A.status_counts(L.validated_de
 _add("run_audit", _on_masters(lambda m: sinks.run_audit(L.validated_dedup(m), "dry_run").drop("run_id", "executed_at")))
 _add("reset_run", _on_masters(sinks.reset_run), _M + "SELECT id, label, type, NULL::VARCHAR AS duplicate_status, NULL::BIGINT AS duplicate_of, NULL::DECIMAL(5,3) AS duplicate_score, NULL::VARCHAR AS ai_decision, 'old' AS record_type FROM masters")
 
+# What builds on marks, over marks that SQL can state too.
+_K = f"WITH marked AS ({S.marked_sql()}) "
+_R = _K.rstrip() + ", " + O.RESULTS + " "
+
+
+def _on_marked(f: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: f(S.marked_masters(spark, d))
+
+
+_add("marked_status_counts", _on_marked(A.status_counts), _K + "SELECT duplicate_status, count(*) AS n FROM marked GROUP BY duplicate_status")
+_add("marked_final_result", _on_marked(lambda m: sinks.conform(L.final_result(m), sinks.FINAL_SCHEMA)), _K + O.FINAL_RESULT)
+_add("marked_results", _on_marked(L.dedup_results), _R + "SELECT * FROM results")
+_add("marked_report", _on_marked(lambda m: A.report_groups(L.dedup_results(m))), _R.rstrip() + ", " + O.REPORT)
+_add(
+    "marked_search",
+    _on_marked(lambda m: A.ordered_search(L.dedup_results(m), "gear")),
+    _R + "SELECT *, CASE member_role WHEN 'primary' THEN 1 WHEN 'duplicate' THEN 2 ELSE 3 END AS role_order FROM results WHERE primary_label ILIKE '%gear%' OR member_label ILIKE '%gear%'",
+)
+_add(
+    "marked_run_audit",
+    _on_marked(lambda m: sinks.run_audit(m, "apply", "fixed marks").drop("run_id", "executed_at")),
+    _K + "SELECT 'apply' AS mode, count(*) AS total_company_rows, count(DISTINCT CASE WHEN duplicate_status = 'duplicate' THEN duplicate_of END) AS duplicate_groups, count(*) FILTER (duplicate_status = 'duplicate') AS duplicate_rows, count(*) FILTER (duplicate_status = 'probable') AS probable_rows, 'fixed marks' AS notes FROM marked",
+)
+_add("marked_reset", _on_marked(sinks.reset_run), _K + "SELECT id, label, type, NULL::VARCHAR AS duplicate_status, NULL::BIGINT AS duplicate_of, NULL::DECIMAL(5,3) AS duplicate_score, NULL::VARCHAR AS ai_decision, record_type FROM marked WHERE record_type <> 'new'")
+_add("dedup_report_lines", _on_marked(lambda m: A.report_lines(L.dedup_results(m))))
+
 # Analytics.
 _SIZES = "sizes AS (SELECT group_id, count(*) AS members, max(CASE WHEN is_primary = 1 THEN company_name END) AS primary_name FROM result WHERE is_valid = 1 GROUP BY group_id) "
 _add("type_distribution", _on_masters(lambda m: A.status_counts(m, "type")), _M + "SELECT type, count(*) AS n FROM masters GROUP BY type")
@@ -181,3 +211,29 @@ _add(
     _on_result(A.residue),
     _RESULT + "SELECT count(*) FILTER (regexp_matches(company_name, 'Full-time|Part-time|Contract|Internship|Seasonal')) AS artifacts, count(*) FILTER (regexp_matches(company_name, ', [A-Z][a-z]+$') OR regexp_matches(company_name, ', (India|Mumbai|Delhi|Bangalore|Chennai|Pune)')) AS places, count(*) FILTER (contains(company_name, '(')) AS parentheses, count(*) FILTER (contains(original_name, '·')) AS bullets FROM result WHERE is_valid = 1",
 )
+_add(
+    "prefix_neighbour_pairs",
+    _on_result(A.prefix_neighbour_pairs),
+    _RESULT + ", one AS (SELECT group_id, company_name, substr(lower(company_name), 1, 10) AS prefix FROM result WHERE is_primary = 1 AND is_valid = 1) SELECT a.prefix AS prefix, a.group_id AS group_a, a.company_name AS name_a, b.group_id AS group_b, b.company_name AS name_b FROM one a JOIN one b ON a.prefix = b.prefix AND a.group_id < b.group_id WHERE length(a.prefix) = 10 ORDER BY a.prefix, a.group_id, b.group_id LIMIT 30",
+)
+_add(
+    "bad_primaries_planted",
+    _on_result(lambda r: A.bad_primaries(r.withColumn("is_primary", F.when(F.col("id") % 37 == 5, 1 - F.col("is_primary")).otherwise(F.col("is_primary"))))),
+    _RESULT + "SELECT group_id, CAST(sum(p) AS BIGINT) AS primaries FROM (SELECT *, CASE WHEN id % 37 = 5 THEN 1 - is_primary ELSE is_primary END AS p FROM result) WHERE is_valid = 1 GROUP BY group_id HAVING sum(p) <> 1",
+)
+_KINDS = (
+    "SELECT 'artifact' AS kind, company_name AS label FROM result WHERE is_valid = 1 AND regexp_matches(company_name, 'Full-time|Part-time|Contract|Internship|Seasonal') "
+    "UNION ALL SELECT 'place', company_name FROM result WHERE is_valid = 1 AND (regexp_matches(company_name, ', [A-Z][a-z]+$') OR regexp_matches(company_name, ', (India|Mumbai|Delhi|Bangalore|Chennai|Pune)')) "
+    "UNION ALL SELECT 'parentheses', company_name FROM result WHERE is_valid = 1 AND contains(company_name, '(') UNION ALL SELECT 'bullet', original_name FROM result WHERE is_valid = 1 AND contains(original_name, '·')"
+)
+_add("residual_labels", _on_result(A.residual_labels), _RESULT + f", kinds AS ({_KINDS}), counted AS (SELECT kind, label, count(*) AS n FROM kinds GROUP BY ALL) SELECT kind, label, n FROM counted QUALIFY row_number() OVER (PARTITION BY kind ORDER BY n DESC, label) <= 20")
+_add(
+    "regression_tiers",
+    _on_result(lambda r: A.regression_tiers(r, [15, 16, 17], [15, 18, 99999999])),
+    _RESULT + f", {_SIZES}, e(tier, g) AS (VALUES ('generic', 15), ('generic', 16), ('generic', 17), ('mixed', 15), ('mixed', 18), ('mixed', 99999999)) SELECT tier, CAST(g AS BIGINT) AS group_id, coalesce(members, 0) AS members, CASE WHEN tier = 'generic' THEN CASE WHEN coalesce(members, 0) <= 15 THEN 'FIXED' ELSE 'STILL BIG (' || members || ')' END WHEN coalesce(members, 0) <= 30 THEN 'OK' ELSE 'STILL BIG' END AS status, substr(primary_name, 1, 60) AS primary_name FROM e LEFT JOIN sizes ON group_id = g",
+)
+_add(
+    "keyword_groups",
+    _on_result(lambda r: A.keyword_groups(r, _KEYWORDS)),
+    _RESULT + f", k AS (SELECT unnest([{', '.join(repr(k) for k in _KEYWORDS)}]) AS keyword), hits AS (SELECT keyword, group_id, count(*) AS n FROM result, k WHERE is_valid = 1 AND (contains(lower(company_name), keyword) OR contains(lower(original_name), keyword)) GROUP BY ALL) SELECT keyword, count(group_id) AS groups, coalesce(max(n), 0) AS largest FROM k LEFT JOIN hits USING (keyword) GROUP BY keyword",
+)

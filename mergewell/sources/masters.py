@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,44 @@ def read_masters(spark: SparkSession, path: str, fmt: str = "parquet", **options
     return spark.read.format(fmt).options(**options).load(path or None)
 
 
+def marked_sql() -> str:
+    """``masters`` with marks given by id, in SQL that Spark and DuckDB both read: what a run may leave behind, broken links included."""
+    return f"""SELECT id, label, type,
+      CASE WHEN id % 5 = 1 THEN 'primary' WHEN id % 5 IN (2, 3) THEN 'duplicate' WHEN id % 15 = 4 THEN 'probable' END AS duplicate_status,
+      CASE WHEN id % 35 = 3 THEN NULL WHEN id % 45 = 8 THEN 100000000 + id WHEN id % 25 = 12 THEN id - 6 WHEN id % 5 = 2 THEN id - 1 WHEN id % 5 = 3 THEN id - 2 END AS duplicate_of,
+      CASE WHEN id % 5 IN (2, 3) THEN CAST(0.75 + (id % 26) / CAST(100 AS DECIMAL(5,2)) AS DECIMAL(5,3)) END AS duplicate_score,
+      CASE WHEN id % 20 IN (2, 4) THEN '{{"same_company":true}}' END AS ai_decision,
+      CASE WHEN id % 91 = 1 THEN 'new' ELSE 'old' END AS record_type FROM ({masters_sql()}) AS m"""
+
+
+def marked_masters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    return spark.sql(marked_sql().replace("FROM part)", "FROM {part})").replace('{"same_company":true}', "{{\"same_company\":true}}"), part=part)
+
+
+def with_retries(read: Callable[[], DataFrame], attempts: int = 10, pause: float = 5.0, wait: Callable[[float], None] = time.sleep) -> DataFrame:
+    """What ``read`` gives, tried again after ever longer waits: a source may be restarting when a job begins.
+
+    Spark connects when it resolves the source's columns, so that is what is tried; tasks have retries of their own.
+    """
+    for attempt in range(1, attempts + 1):
+        try:
+            df = read()
+            df.schema  # noqa: B018
+            return df
+        except Exception:
+            if attempt == attempts:
+                raise
+            wait(pause * attempt)
+    raise ValueError("attempts is at least 1")
+
+
+def tables_of(spark: SparkSession) -> DataFrame:
+    """Catalogue rows ``name, kind, temporary`` of the session's tables and views."""
+    rows = [(t.name, t.tableType, t.isTemporary) for t in spark.catalog.listTables()]
+    return spark.createDataFrame(rows, "name string, kind string, temporary boolean")
+
+
 def companies(masters: DataFrame) -> DataFrame:
     """The scan of one type; filter and columns reach the source."""
     return masters.where("type = 'Company'").select("id", "label")

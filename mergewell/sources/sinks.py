@@ -14,6 +14,20 @@ STATUS_COLUMNS = {
 }
 
 
+#: Columns of result tables; the profiles of one type have no ``source_type``.
+RESULT_SCHEMA = "id bigint, company_name string, original_name string, master_id bigint, source_type string, group_id bigint, is_primary int, is_valid int, filter_reason string"
+FINAL_SCHEMA = "id bigint, company_name string, master_id bigint, group_id bigint, is_primary int"
+
+
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """``df`` with the declared columns, in order and type; a missing column or a value that does not fit is an error."""
+    declared = [c.split() for c in schema.split(", ")]
+    missing = [name for name, _ in declared if name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in declared])
+
+
 def ensure_columns(masters: DataFrame) -> DataFrame:
     """Adds the status columns that are missing, each checked by itself."""
     for name, kind in STATUS_COLUMNS.items():
