@@ -1,12 +1,15 @@
 """String similarity and merge decisions on batches of pairs.
 
 Ratios are twice the longest common subsequence over the summed lengths.  Subsequences are found for
-a whole batch at once, bit by bit in 64-bit words; longer strings go through Python integers.
+a whole batch at once: a table holds, for each pair and sign, the sign's places in the shorter string as the
+bits of a 64-bit word, and every step looks one sign up for all pairs or windows.  Longer strings go
+through Python integers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,34 +36,54 @@ def lcs_length(a: str, b: str) -> int:
     return len(a) - rest.bit_count()
 
 
-def _codes(strings: list[str], width: int) -> np.ndarray:
-    """Code points in rows, zeros behind."""
-    return np.frombuffer("".join([s.ljust(width, "\0") for s in strings]).encode("utf-32-le"), np.uint32).reshape(len(strings), width)
+class _Pairs:
+    """Pairs of strings as numbered signs, 0 behind the end, with the places of signs in the shorter ones."""
+
+    def __init__(self, short: list[str], long: list[str]):
+        n = len(short)
+        self.m, self.n = (np.fromiter(map(len, x), np.int64, n) for x in (short, long))
+        width = max(int(self.m.max()), 1), max(int(self.n.max()), 1)
+        flat = np.frombuffer("".join([s.ljust(w, "\0") for w, side in zip(width, (short, long)) for s in side]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        signs, numbers = np.unique(np.concatenate([np.zeros(1, np.uint32), flat]), return_inverse=True)
+        x, self.y = numbers[1 : 1 + n * width[0]].reshape(n, -1), numbers[1 + n * width[0] :].reshape(n, -1)
+        self.size = len(signs)
+        self.places = np.zeros(n * self.size, np.uint64)
+        self.base = np.arange(n) * self.size
+        for k in range(width[0]):
+            self.places[self.base + x[:, k]] |= np.uint64(1 << k)
+        self.places[self.base] = 0  # the end is no sign, whatever the strings hold
+        self.full = (np.uint64(1) << self.m.astype(np.uint64)) - np.uint64(1)
+
+    def common(self, rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Longest common subsequences of the short strings of ``rows`` and the long ones from ``start`` to ``end``."""
+        base, full = self.base[rows], self.full[rows]
+        flat, at, rest = self.y.ravel(), rows * self.y.shape[1] + start, full.copy()
+        size = end - start
+        for k in range(int(size.max()) if len(size) else 0):
+            sign = flat[np.minimum(at + k, len(flat) - 1)]
+            m = rest & np.where(k < size, self.places[base + sign], np.uint64(0))
+            rest = (rest + m | rest - m) & full
+        return np.bitwise_count(full).astype(np.int64) - np.bitwise_count(rest).astype(np.int64)
+
+
+def _batches(rows: list[int], size: int = 4096) -> Iterator[list[int]]:
+    for at in range(0, len(rows), size):
+        yield rows[at : at + size]
 
 
 def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
     """``lcs_length`` of every pair; the shorter side of a pair must fit a word to be vectorised."""
     out = np.zeros(len(a), np.int64)
     pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b)]
-    fits = [i for i, (x, y) in enumerate(pairs) if 0 < len(x) < _WORD and len(y) <= 256]
+    fits = []
     for i, (x, y) in enumerate(pairs):
-        if len(x) >= _WORD or len(y) > 256:
+        if len(x) >= _WORD or len(y) > 256 or "\0" in y:
             out[i] = lcs_length(x, y)
-    for at in range(0, len(fits), 4096):
-        part = fits[at : at + 4096]
-        short = [pairs[i][0] for i in part]
-        long = [pairs[i][1] for i in part]
-        n = np.array([len(s) for s in short], dtype=np.uint64)
-        x, y = _codes(short, max(map(len, short))), _codes(long, max(map(len, long)))
-        full = (np.uint64(1) << n) - np.uint64(1)
-        rest = full.copy()
-        bit = np.uint64(1) << np.arange(x.shape[1], dtype=np.uint64)
-        for j in range(y.shape[1]):
-            c = y[:, j]
-            mask = np.where((x == c[:, None]) & (c[:, None] != 0), bit, np.uint64(0)).sum(axis=1, dtype=np.uint64)
-            m = rest & mask
-            rest = (rest + m | rest - m) & full
-        out[part] = n.astype(np.int64) - np.bitwise_count(rest).astype(np.int64)
+        elif x:
+            fits.append(i)
+    for part in _batches(fits):
+        p = _Pairs([pairs[i][0] for i in part], [pairs[i][1] for i in part])
+        out[part] = p.common(np.arange(len(part)), np.zeros(len(part), np.int64), p.n)
     return out
 
 
@@ -69,10 +92,12 @@ def ratios(a: list[str], b: list[str]) -> np.ndarray:
     return np.where(size > 0, 2 * lcs_lengths(a, b) / np.maximum(size, 1), 1.0)
 
 
+@lru_cache(maxsize=200_000)
 def ratio(a: str, b: str) -> float:
     return 2 * lcs_length(a, b) / (len(a) + len(b)) if a or b else 1.0
 
 
+@lru_cache(maxsize=100_000)
 def token_sort(s: str) -> str:
     return " ".join(sorted(s.split()))
 
@@ -96,34 +121,52 @@ def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
+def _window_ratios(short: list[str], long: list[str]) -> np.ndarray:
+    """Best ratio of each short string, of under 64 signs, against the windows of the long one, of up to 256."""
+    p = _Pairs(short, long)
+    best = np.zeros(len(short))
+    width = p.y.shape[1]
+    # A window that begins or ends on a sign the shorter string lacks is never the best, but for the whole.
+    known = np.zeros((len(short), width + 1), bool)
+    known[:, 1:] = p.places[p.base[:, None] + p.y] != 0  # known[:, e]: the sign before e
+    e = np.arange(width + 1)[None, :]
+    m, n = p.m[:, None], p.n[:, None]
+    begins = np.concatenate([known[:, 1:], np.zeros((len(short), 1), bool)], axis=1)  # begins[:, s]: the sign at s
+    last = np.take_along_axis(known, np.minimum(e + m, width), axis=1)
+    whole = (e + m <= n) & (begins | last | (m == n))
+    for rows, start, end in (
+        (*np.nonzero((e >= 1) & (e < m) & (e <= n) & known), None),
+        (*np.nonzero(whole), p.m),
+        (*np.nonzero((e + m > n) & (e < n) & begins), p.n),
+    ):
+        start, end = (np.zeros_like(rows), start) if end is None else (start, start + end[rows] if end is p.m else end[rows])
+        for at in range(0, len(rows), 100_000):
+            r, s, t = rows[at : at + 100_000], start[at : at + 100_000], end[at : at + 100_000]
+            np.maximum.at(best, r, 2 * p.common(r, s, t) / (p.m[r] + t - s))
+    return best
+
+
+def _slow_partial(x: str, y: str) -> float:
+    """The best ratio for strings of any length, window by window."""
+    m = len(x)
+    windows = {y[max(0, e - m) : e] for e in range(1, len(y) + 1)} | {y[s : s + m] for s in range(len(y))}
+    return max((2 * lcs_length(x, w) / (m + len(w)) for w in windows), default=0.0) if x else 0.0
+
+
 def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
     """Best ratio of the shorter string against windows of the longer, cut windows at the ends too."""
     out = np.zeros(len(a))
-    left, right, of = [], [], []
-
-    def flush() -> None:
-        if of:
-            np.maximum.at(out, of, ratios(left, right))
-            left.clear(), right.clear(), of.clear()
-
+    short, long, of = [], [], []
     for i, (x, y) in enumerate(zip(a, b)):
         if len(x) > len(y):
             x, y = y, x
-        m = len(x)
-        known = set(x)
-        # A window that ends on a sign the shorter string lacks is never the best.
-        windows = {y[max(0, e - m) : e] for e in range(1, len(y) + 1) if y[e - 1] in known} | {y[s : s + m] for s in range(len(y)) if y[s] in known}
-        if m == len(y):
-            windows |= {y}
-            known_y = set(y)
-            back = {x[max(0, e - m) : e] for e in range(1, m + 1) if x[e - 1] in known_y} | {x[s : s + m] for s in range(m) if x[s] in known_y}
-            for w in back:
-                left.append(y), right.append(w), of.append(i)
-        for w in windows:
-            left.append(x), right.append(w), of.append(i)
-        if len(of) > 60_000:
-            flush()
-    flush()
+        for u, v in ((x, y), (y, x)) if len(x) == len(y) else ((x, y),):  # equal lengths both ways
+            if len(u) >= _WORD or len(v) > 256 or "\0" in u + v:
+                out[i] = max(out[i], _slow_partial(u, v))
+            elif u:
+                short.append(u), long.append(v), of.append(i)
+    for part in _batches(list(range(len(of))), 2048):
+        np.maximum.at(out, [of[k] for k in part], _window_ratios([short[k] for k in part], [long[k] for k in part]))
     return out
 
 
