@@ -3,7 +3,9 @@
 Each round hangs the larger neighbours of every node on its least neighbour, then the smaller ones,
 until the edges are stars.  A round shuffles at most the edges and is written to the shared folder,
 so the plan stays flat.  Least neighbours are found by a map-side aggregate, never by gathering a
-node's neighbours, so a hub with a third of all edges is one row per task.
+node's neighbours, so a hub with a third of all edges is one row per task.  The edges of hubs meet
+their least neighbour by a broadcast of hubs, of which there are ``2 * HUB_PART`` at most, and so never
+gather in one task; all others meet theirs by a shuffled join.
 """
 
 from __future__ import annotations
@@ -14,20 +16,33 @@ from pyspark.sql import functions as F
 from ..storage import drop_materialized, materialize
 
 
+#: A node with at least this part of all edges (one in ``HUB_PART``) is a hub.
+HUB_PART = 1000
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, least: DataFrame, edges: int) -> DataFrame:
+    """``u, v, m`` of ``rows``; ``least`` has ``u, m`` and ``n``, the number of ``u``'s rows, of which there are at most ``2 * edges``."""
+    part = max(edges / HUB_PART, 1)
+    hubs = least.where(F.col("n") > part).select("u", F.col("m").alias("_hub"))
+    met = rows.join(F.broadcast(hubs), "u", "left")
+    others = met.where("_hub is null").select("u", "v").join(least.where(F.col("n") <= part).select("u", "m"), "u")
+    return met.where("_hub is not null").select("u", "v", F.col("_hub").alias("m")).unionAll(others.select("u", "v", "m"))
+
+
+def _large_star(edges: DataFrame, count: int) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    return _with_least(both.where("v > u"), least, count).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, count: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    hung = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    hung = _with_least(down, least, count).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
@@ -40,9 +55,9 @@ def connected_components(edges: DataFrame, a: str = "id_a", b: str = "id_b", mos
     now = materialize(start.where("_x and _y and u <> v").select("u", "v").distinct(), "edges")
     before = _state(now)
     for _ in range(most_rounds if before[0] else 0):
-        big = materialize(_large_star(now), "edges")
+        big = materialize(_large_star(now, before[0]), "edges")
         drop_materialized(now)
-        now = materialize(_small_star(big), "edges")
+        now = materialize(_small_star(big, before[0]), "edges")
         drop_materialized(big)
         after = _state(now)
         if after == before:

@@ -38,6 +38,13 @@ def test_components(spark, n, m):
     assert got == want
 
 
+def test_components_with_hubs(spark):
+    """Nodes with over a thousandth of the edges, as the least and as the greatest of their neighbours, beside nodes with few."""
+    edges = [(0, k) for k in range(1, 1500)] + [(9_999, k) for k in range(2_000, 3_000)] + [(k, k + 3) for k in range(5_000, 6_500)] + [(700, 2_500)]
+    got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "id_a long, id_b long")).collect()}
+    assert got == brute_components(edges) and got[9_999] == 0 and len(set(got.values())) == 4
+
+
 def test_components_of_a_chain(spark):
     df = spark.range(60).selectExpr("id AS id_a", "id + 1 AS id_b")
     assert {r["component"] for r in connected_components(df).collect()} == {0}
