@@ -236,6 +236,7 @@ def exchange_classes(pairs: np.ndarray, words: int, classes: int) -> np.ndarray:
     one = np.zeros((symbols, n))
     one[np.arange(symbols), of] = 1
     table = one.T @ pairs @ one
+    least = 1e-12 * float(f(pairs.sum()))  # well above the rounding of a gain at any number of tokens
     moved = 1
     while moved:  # every move raises the likelihood, so this ends
         moved = 0
@@ -256,10 +257,11 @@ def exchange_classes(pairs: np.ndarray, words: int, classes: int) -> np.ndarray:
             diagonal = table[i, i]
             gain -= f(diagonal + after[i]) + f(diagonal + before[i]) - 2 * f(diagonal)
             gain += f(diagonal + after[i] + before[i] + itself) - f(diagonal)
-            left, right = rows.sum(1), cols.sum(1)
+            # A class's tokens, counted with the word out of its class but still beside their neighbours.
+            left, right = rows.sum(1) + before[:classes], cols.sum(1) + after[:classes]
             gain -= f(left + after.sum() + itself) - f(left) + f(right + before.sum() + itself) - f(right)
             best = int(gain.argmax())
-            if gain[best] <= gain[own] + 1e-6:
+            if gain[best] <= gain[own] + least:
                 best = own
             moved += best != own
             of[w] = best

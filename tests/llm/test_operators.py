@@ -629,6 +629,25 @@ def test_exchange_finds_alternating_classes():
     assert len({of[i] for i in range(0, 8, 2)}) == 1 and len({of[i] for i in range(1, 8, 2)}) == 1
 
 
+def test_exchange_ends_where_no_move_raises_the_likelihood():
+    def likelihood(pairs, of, classes):
+        size = classes + len(pairs) - 12
+        table = np.zeros((size, size))
+        np.add.at(table, (of[:, None], of[None, :]), pairs)
+        f = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return f(table) - f(table.sum(1)) - f(table.sum(0))
+
+    for seed in range(20):
+        pairs = np.random.default_rng(seed).integers(0, 30, (14, 14)).astype(float)
+        of = brown_lm.exchange_classes(pairs, 12, 4)
+        reached = likelihood(pairs, of, 4)
+        for w in range(12):
+            for k in range(4):
+                moved = of.copy()
+                moved[w] = k
+                assert likelihood(pairs, moved, 4) <= reached + 1e-6, (seed, w, k)
+
+
 def test_unseen_words_have_shares_below_one(spark):
     rows = [(i, " ".join(f"u{i}x{j}" for j in range(5))) for i in range(40)]
     got = brown_lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
