@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import zlib
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import drop_materialized, free_name, materialize, shared_dir
 
-__all__ = ["drop_materialized", "free_name", "id_remainder", "materialize", "packed", "partitions_for", "salted_join", "shared_dir", "stable_hash", "table", "whole_texts"]
+__all__ = ["drop_materialized", "forget", "free_name", "id_remainder", "materialize", "packed", "partitions_for", "remembered", "salted_join", "shared_dir", "stable_hash", "table", "whole_texts"]
 
 #: Parts into which a key's rows are dealt before a join.
 SALTS = 32
 
 
+#: What a worker keeps between its tasks.
+_remembered: dict[str, Any] = {}
+
+
+def remembered(name: str, make: Callable[[], Any]) -> Any:
+    """The worker's object of that name, made when a task first asks for it."""
+    if name not in _remembered:
+        _remembered[name] = make()
+    return _remembered[name]
+
+
+def forget() -> None:
+    """Gives back what tasks of other operators left in this worker, which Spark hands on from stage to stage."""
+    if _remembered:
+        _remembered.clear()
+        gc.collect()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

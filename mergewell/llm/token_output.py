@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions_for, whole_texts
+from .common import materialize, partitions_for, remembered, whole_texts
 
 END = 1
 SHARD_TOKENS = 4_000_000
@@ -218,9 +218,15 @@ class Encoder:
             return
         # A full stop or comma after an ASCII letter or digit is a token run of its own.
         stems = [w[:-1] if w[-1:] in b".," and w[-2:-1].isalnum() else w for w in waiting]
-        once = {w: i for i, w in enumerate(dict.fromkeys([*stems, b".", b","]))}
-        ids = self._encode_words([w.decode() for w in once])
-        new = [ids[once[s]] + (ids[once[w[-1:]]] if len(s) < len(w) else []) for s, w in zip(stems, waiting)]
+        first, number = len(self.starts), self.words.get  # words that wait have numbers from ``first`` on
+        parts = dict.fromkeys([*stems, b".", b","])
+        unknown = [w for w in parts if number(w, first) >= first]
+        ids = dict(zip(unknown, self._encode_words([w.decode() for w in unknown])))
+        for w in parts:
+            if w not in ids:
+                n = number(w)
+                ids[w] = self.flat[self.starts[n] : self.starts[n] + self.sizes[n]].tolist()
+        new = [ids[s] + (ids[w[-1:]] if len(s) < len(w) else []) for s, w in zip(stems, waiting)]
         sizes = np.array([len(x) for x in new], dtype=np.int64)
         starts = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.flat = np.concatenate([self.flat, np.array([i for x in new for i in x], dtype=self.kind)])
@@ -237,12 +243,12 @@ class Encoder:
             self.flat = self.flat[: int(self.starts[-1] + self.sizes[-1])]
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word; words go to the tokenizer in long texts, parted by the mark."""
+        """Ids of each word; words go to the tokenizer in longer texts, parted by the mark, and without offsets."""
         plain = [w for w in words if _MARK not in w and "<|" not in w] if self.mark is not None else []
         found: dict[str, list[int]] = {}
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            row, at = self.tokenizer.encode(f" {_MARK} ".join(part) + f" {_MARK}", add_special_tokens=False).ids, 0
+        for i in range(0, len(plain), 200):
+            part = plain[i : i + 200]
+            row, at = self.tokenizer.encode_batch_fast([f" {_MARK} ".join(part) + f" {_MARK}"], add_special_tokens=False)[0].ids, 0
             for w in part:
                 end = row.index(self.mark, at)
                 found[w] = row[at:end]
@@ -269,14 +275,9 @@ class Encoder:
         return out, np.diff(np.concatenate([[0], upto[np.array(ends, dtype=np.int64) - 1]])) if ends else np.zeros(0, np.int64)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder_for(path: str) -> Encoder:
-    """The worker's encoder; a function of the module, so that tasks of a worker share what it remembers."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """The worker's encoder; its tasks share what it remembers."""
+    return remembered(f"encoder {path}", lambda: Encoder(path))
 
 
 def _pack(path: str, shard_tokens: int):

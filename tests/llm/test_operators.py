@@ -439,6 +439,18 @@ def test_words_encode_as_the_whole(text):
     assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1] and sizes.tolist() == [len(ids)]
 
 
+def test_words_that_are_known_are_not_encoded_again(monkeypatch):
+    encoder, plain = token_output.Encoder(token_output.default_vocabulary()), token_output.Encoder(token_output.default_vocabulary())
+    encoder.encode([b"alpha beta1 \xc3\xa9t\xc3\xa9"])
+    asked = []
+    inner = encoder._encode_words
+    monkeypatch.setattr(encoder, "_encode_words", lambda words: asked.extend(words) or inner(words))
+    texts = [b"alpha, beta1. gamma, \xc3\xa9t\xc3\xa9, alpha."]
+    got, sizes = encoder.encode(texts)
+    assert "gamma" in asked and not {"alpha", "beta1"} & set(asked)
+    assert got.tolist() == [*plain.tokenizer.encode(texts[0].decode(), add_special_tokens=False).ids, token_output.END] and sizes.tolist() == [len(got)]
+
+
 def test_token_files(docs, empty):
     from tokenizers import Tokenizer
 
