@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import drop_materialized, materialize, packed, salted_join, whole_texts
+from .common import drop_materialized, materialize, packed, remembered, salted_join, whole_texts
 
 WORDS = 5
 COORDINATES = 64
@@ -51,7 +51,6 @@ HUBS = 4
 #: Words whose hashes a worker remembers; others are hashed each time.
 REMEMBERED = 150_000
 
-_words: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,15 +66,16 @@ def matches_for(percent: int) -> int:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    known = _words.get
+    hashes: dict[bytes, int] = remembered("word hashes", dict)
+    known = hashes.get
     out = []
     add = out.append
     for w in words:
         h = known(w)
         if h is None:
             h = xxhash.xxh3_64_intdigest(w)
-            if len(_words) < REMEMBERED:
-                _words[w] = h
+            if len(hashes) < REMEMBERED:
+                hashes[w] = h
         add(h)
     return np.array(out, dtype=np.uint64)
 

@@ -24,7 +24,6 @@ toxic; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_materialized, id_remainder, materialize, whole_texts
+from .common import drop_materialized, forget, id_remainder, materialize, whole_texts
 
 SAMPLE = 20_000
 #: Taken off every count of a class; what it takes is dealt by the lower order.
@@ -74,30 +73,46 @@ ROOT, START = 1, 2
 BIGRAM, WORD = 0, 1
 
 
+def _distinct(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of some columns, and how often each stands there."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    at = np.flatnonzero(new)
+    return [c[at] for c in columns], np.diff(at, append=len(order))
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``(kind, h, w, slot, n)``: what follows a word, and what stands below a prefix, by class and fold."""
-    ids, found = _Ids(), Counter()
+    forget()
+    ids, held = _Ids(), []
 
     def out() -> pa.RecordBatch:
-        keys = list(found)
-        table = {c: pa.array([k[i] for k in keys], t) for i, (c, t) in enumerate((("kind", pa.int32()), ("h", pa.int64()), ("w", pa.int64()), ("slot", pa.int32())))}
-        table["n"] = pa.array(list(found.values()), pa.int64())
-        found.clear()
-        return pa.RecordBatch.from_pydict(table)
+        (kind, h, w, slot), n = _distinct(*(np.concatenate(c) for c in zip(*held)))
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(h), pa.array(w), pa.array(slot, pa.int32()), pa.array(n, pa.int64())], names=["kind", "h", "w", "slot", "n"])
 
     for batch in batches:
-        for i in range(0, batch.num_rows, 200):
-            part = batch.slice(i, 200)
-            for t, toxic, fold in zip(part.column(0).cast(pa.binary()).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
-                words = [w for w in map(ids.__getitem__, t.split()) if w[0]]
-                slot = 2 * fold + (0 if toxic else 1)
-                once = {(BIGRAM, a, b[0], slot) for a, b in zip([START, *(w[0] for w in words)], words)}
-                for path in set(words):
-                    once.update((WORD + k, parent, child, slot) for k, (child, parent) in enumerate(zip(path, (*path[1:], ROOT))))
-                found.update(once)
-                if len(found) > 500_000:
-                    yield out()
-    yield out()
+        for i in range(0, batch.num_rows, 50):
+            part = batch.slice(i, 50)
+            paths = [_ids_of(t, ids) for t in part.column(0).cast(pa.binary()).to_pylist()]
+            slots = np.array([2 * fold + (0 if toxic else 1) for toxic, fold in zip(part.column(1).to_pylist(), part.column(2).to_pylist())], dtype=np.int8)
+            sizes = np.array([len(p) for p in paths])
+            doc, path = np.repeat(np.arange(len(paths)), sizes), np.concatenate(paths)
+            before = np.roll(path[:, 0], 1)
+            before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+            columns = [*path.T, np.full(len(path), ROOT)]
+            pairs = [(before, path[:, 0]), *zip(columns[1:], columns)]
+            for kind, (h, w) in enumerate(pairs):  # ``BIGRAM``, then ``WORD`` and its prefixes
+                (d, h, w), _ = _distinct(doc, h, w)  # a document counts it once
+                held.append((np.full(len(d), kind, np.int8), h, w, slots[d]))
+            if sum(len(k) for k, *_ in held) > 500_000:
+                yield out()
+    if held:
+        yield out()
 
 
 def _log_gamma(x: Column) -> Column:
@@ -258,6 +273,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     drop_materialized(grams)
 
     def score_folds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         ids = _Ids()
         for batch in batches:
             out = [(*_features(*halves[fold].document(_ids_of(t, ids))), toxic) for t, toxic, fold in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())]
@@ -281,6 +297,7 @@ def with_toxicity(docs: DataFrame, text_docs: DataFrame, labels: DataFrame, colu
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         ids = _Ids()
         for part in texts:
             x = np.array([_features(*ratios.document(_ids_of(t.encode() if t else b"", ids))) for t in part]).reshape(-1, 2)

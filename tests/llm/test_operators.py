@@ -6,10 +6,12 @@ import math
 import re
 import struct
 import time
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -285,6 +287,27 @@ def test_toxicity_against_brute_force(spark):
     assert np.mean([got[i]["predicted"] == int(i % 4 == 0) for i in held]) > 0.9
 
 
+def test_grams_are_counted_without_what_others_remembered():
+    rng = np.random.default_rng(5)
+    texts = ["", "...", "Foo foo, FOO. a a", *(" ".join(f"w{x}" for x in rng.integers(0, 10**6, 1000)) for _ in range(200))]
+    toxic, fold = [i % 3 == 0 for i in range(len(texts))], [i % 2 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(toxic), pa.array(fold, pa.int32())], names=["text", "toxic", "fold"])
+    want = Counter()
+    for t, y, f in zip(texts, toxic, fold):
+        words = [w for w in map(toxicity.word_nodes, t.encode().split()) if w[0]]
+        once = {(0, a, b[0]) for a, b in zip([toxicity.START, *(w[0] for w in words)], words)}
+        for w in words:
+            once |= {(1 + k, parent, child) for k, (child, parent) in enumerate(zip(w, (*w[1:], toxicity.ROOT)))}
+        want.update((*x, 2 * f + (not y)) for x in once)
+    kept = weakref.ref(token_output.encoder_for(token_output.default_vocabulary()))
+    got = Counter()
+    for rows in toxicity._grams(iter([batch])):
+        for *key, n in zip(*(c.to_pylist() for c in rows.columns)):
+            got[tuple(key)] += n
+    assert got == want
+    assert kept() is None  # an executor's memory holds one operator's words, not those of all before
+
+
 def test_toxicity_of_one_class_and_ties(spark, docs):
     mark = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int")
     learn = [i for i, _ in TEXTS if i is not None and zlib.crc32(str(i).encode()) % 4 != 2]
