@@ -24,13 +24,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_materialized, id_remainder, materialize, whole_texts
+from .common import drop_materialized, id_remainder, lean, materialize, whole_texts
 
 HEAD = 150_000
 SEEDS = 1000
@@ -38,6 +39,9 @@ CLASSES = 40
 #: Weight, in tokens, of the overall shares when a class's neighbours are smoothed.
 PRIOR = 10.0
 REMEMBERED = 300_000
+#: Events that a worker holds before it counts them, and those that it counts into one batch, so that no batch is large on either side.
+HELD = 2_000_000
+PIECE = 50_000
 #: Stands between documents; no word holds white space.
 END = b"\n"
 
@@ -79,14 +83,14 @@ class _Numbers(dict):
         self.others.clear()
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], numbers: _Numbers, texts: int = 1000) -> Iterator[np.ndarray]:
-    """Numbers of the tokens of some documents, an end before the first and after each."""
-    number = numbers.__getitem__
+def _sequences(batches: Iterator[pa.RecordBatch], numbers: _Numbers, grow: bool = True, texts: int = 1000) -> Iterator[np.ndarray]:
+    """Numbers of the tokens of some documents, an end before the first and after each; unless they grow, words without a number share the next one."""
+    number, other = numbers.__getitem__, repeat(numbers.lead + 1)
     for batch in batches:
         for i in range(0, batch.num_rows, texts):
             row = [numbers.lead]
             for t in batch.column(0).slice(i, texts).cast(pa.binary()).to_pylist():
-                row.extend(map(number, t.lower().split()))
+                row.extend(map(number, t.lower().split()) if grow else map(numbers.get, t.lower().split(), other))
                 row.append(numbers.lead)
             yield np.array(row, dtype=np.int64)
 
@@ -104,13 +108,13 @@ def _pairs(seeds: list[bytes]):
         total = np.zeros(size * size, np.int64)
         # The end comes right after the seeds in the numbers; as a symbol it is the last.
         symbol = np.array([*range(len(seeds)), size - 1, size - 2])
-        for a in _sequences(batches, numbers):
-            a = symbol[np.minimum(a, len(seeds) + 1)]
+        for a in _sequences(batches, numbers, grow=False):
+            a = symbol[a]
             total += np.bincount(a[:-1] * size + a[1:], minlength=size * size)
-            if len(numbers.others) > REMEMBERED:
-                numbers.forget()
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["pair", "n"])
+        for i in range(0, len(at), PIECE):
+            part = at[i : i + PIECE]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], names=["pair", "n"])
 
     return run
 
@@ -124,20 +128,32 @@ class _Events:
         self.held = 0
 
     def add(self, numbers: np.ndarray, symbols: np.ndarray) -> None:
-        self.codes.append((numbers - self.numbers.lead - 1) * self.symbols + symbols)
+        codes = (numbers - self.numbers.lead - 1) * self.symbols + symbols
+        self.codes.append(codes.astype(np.int32) if len(self.numbers.others) * self.symbols < 2**31 else codes)
         self.held += len(numbers)
 
     def full(self) -> bool:
-        return self.held > 4_000_000 or len(self.numbers.others) > REMEMBERED
+        return self.held > HELD or len(self.numbers.others) > REMEMBERED
 
-    def rows(self) -> pa.RecordBatch:
-        codes, n = np.unique(np.concatenate([np.zeros(0, np.int64), *self.codes]), return_counts=True)
-        words = pa.array(self.numbers.others, pa.binary()).take(pa.array(codes // self.symbols))
-        out = pa.RecordBatch.from_arrays([words, pa.array(codes % self.symbols, pa.int32()), pa.array(n, pa.int64())], names=["word", "symbol", "n"])
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """All counts, in batches; read to the end before more is added."""
+        codes = np.concatenate([np.zeros(0, np.int32), *self.codes])
         self.codes.clear()
         self.held = 0
+        codes.sort()
+        words = pa.array(self.numbers.others, pa.binary())
         self.numbers.forget()
-        return out
+        at = 0
+        while at < len(codes):
+            to = int(codes.searchsorted(codes[min(at + PIECE, len(codes)) - 1], "right"))  # equal codes stay together
+            part = codes[at:to]
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            found = part[first]
+            yield pa.RecordBatch.from_arrays(
+                [words.take(pa.array(found // self.symbols)), pa.array(found % self.symbols, pa.int32()), pa.array(np.diff(first, append=len(part)), pa.int64())],
+                names=["word", "symbol", "n"],
+            )
+            at = to
 
 
 def _neighbours(seeds: list[bytes], of: np.ndarray, classes: int):
@@ -155,8 +171,8 @@ def _neighbours(seeds: list[bytes], of: np.ndarray, classes: int):
             events.add(a[mine[before != other]], before[before != other])
             events.add(a[mine[after != other]], size + after[after != other])
             if events.full():
-                yield events.rows()
-        yield events.rows()
+                yield from events.rows()
+        yield from events.rows()
 
     return run
 
@@ -177,8 +193,8 @@ def _assign(logs: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 5000):
-                part = batch.slice(i, 5000)
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
                 symbols, ns = part.column(2), part.column(3)
                 sizes = np.diff(symbols.offsets.to_numpy())
                 symbol, n = symbols.flatten().to_numpy(), ns.flatten().to_numpy().astype(float)
@@ -210,8 +226,8 @@ def _follows(head: list[bytes], kind: np.ndarray, classes: int):
             at = np.flatnonzero(now == rare)
             events.add(a[1:][at], before[at])
             if events.full():
-                yield events.rows()
-        yield events.rows()
+                yield from events.rows()
+        yield from events.rows()
         total = total.reshape(size, size)
         total[:, rare] = 0
         at = np.flatnonzero(total.ravel())
@@ -308,7 +324,7 @@ def _score(model: dict):
 def word_classes(train: DataFrame, counts: DataFrame, seeds: list[bytes], classes: int) -> tuple[np.ndarray, DataFrame]:
     """Classes of the seeds, and ``word, c, k`` of every other word (written)."""
     spark, size = train.sparkSession, len(seeds) + 2
-    found = train.mapInArrow(_pairs(seeds), _TABLE).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most size * size rows
+    found = train.mapInArrow(lean(_pairs(seeds)), _TABLE).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most size * size rows
     pairs = np.zeros(size * size)
     pairs[found.column("pair").to_numpy()] = found.column("n").to_numpy()
     of = exchange_classes(pairs.reshape(size, size), len(seeds), classes)
@@ -316,14 +332,14 @@ def word_classes(train: DataFrame, counts: DataFrame, seeds: list[bytes], classe
     one[np.arange(size), np.where(np.arange(size) < len(seeds), of, classes + np.arange(size) - len(seeds))] = 1
     logs = neighbour_logs(one.T @ pairs.reshape(size, size) @ one, classes)
     of = of[: len(seeds)]
-    beside = train.mapInArrow(_neighbours(seeds, of, classes), _EVENTS).groupBy("word", "symbol").agg(F.sum("n").alias("n"))
+    beside = train.mapInArrow(lean(_neighbours(seeds, of, classes)), _EVENTS).groupBy("word", "symbol").agg(F.sum("n").alias("n"))
     # At most two rows for each class and word.
     beside = beside.groupBy("word").agg(F.collect_list(F.struct("symbol", "n")).alias("x")).select("word", F.col("x.symbol").alias("symbols"), F.col("x.n").alias("ns"))
     none = F.array()
     lead = spark.createDataFrame([(bytearray(w),) for w in seeds], "word binary")
     others = counts.join(F.broadcast(lead), "word", "left_anti").join(beside, "word", "left")  # at most ``SEEDS`` rows
     others = others.select("word", "c", F.coalesce("symbols", none.cast("array<int>")).alias("symbols"), F.coalesce("ns", none.cast("array<bigint>")).alias("ns"))
-    return of, materialize(others.mapInArrow(_assign(logs), "word binary, c long, k int"), "classes")
+    return of, materialize(others.mapInArrow(lean(_assign(logs)), "word binary, c long, k int"), "classes")
 
 
 def lm_scores(docs: DataFrame, clustered: int = SEEDS, classes: int = CLASSES, head: int = HEAD) -> DataFrame:
@@ -334,7 +350,7 @@ def lm_scores(docs: DataFrame, clustered: int = SEEDS, classes: int = CLASSES, h
     spark = docs.sparkSession
     docs = whole_texts(docs).withColumn("held_out", id_remainder(F.col("doc_id"), 10) == 0)
     train = docs.where(~F.col("held_out")).select("text")
-    counts = train.mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = train.mapInArrow(lean(_count), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
     counts = materialize(counts, "words")
     trained = train.count()
     words, vocabulary = counts.agg(F.sum("c"), F.count("*")).first()
@@ -359,7 +375,7 @@ def lm_scores(docs: DataFrame, clustered: int = SEEDS, classes: int = CLASSES, h
     # Class bigrams: of the head's words from the workers, of rarer words through their classes.
     size = classes + 2
     rare_words = others.where(F.col("c") < least)
-    follows = materialize(train.mapInArrow(_follows(names, kind, classes), _EVENTS).groupBy("word", "symbol").agg(F.sum("n").alias("n")), "follows")
+    follows = materialize(train.mapInArrow(lean(_follows(names, kind, classes)), _EVENTS).groupBy("word", "symbol").agg(F.sum("n").alias("n")), "follows")
     code = F.when(F.col("word").isNull(), F.col("symbol")).otherwise(F.col("symbol") * size + F.col("k"))
     found = follows.join(rare_words.select("word", "k"), "word", "left").groupBy(code.alias("code")).agg(F.sum("n").alias("n")).collect()  # at most size * size rows
     table = np.zeros(size * size)
@@ -391,7 +407,7 @@ def lm_scores(docs: DataFrame, clustered: int = SEEDS, classes: int = CLASSES, h
         "end_base": float(np.log10((trained + 0.1) / floor)),
     }
     scored = docs.select("doc_id", "held_out", "text").mapInArrow(
-        _score(model), "doc_id long, held_out boolean, n_tokens long, known long, low double, high double, rare array<binary>, history array<int>, times array<long>"
+        lean(_score(model)), "doc_id long, held_out boolean, n_tokens long, known long, low double, high double, rare array<binary>, history array<int>, times array<long>"
     )
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     tail = scored.select("row", F.explode(F.arrays_zip("rare", "history", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.history").alias("history"), F.col("x.times").alias("times"))

@@ -6,6 +6,7 @@ import math
 import re
 import struct
 import time
+import tracemalloc
 import weakref
 import zlib
 from collections import Counter
@@ -683,6 +684,40 @@ def test_exchange_ends_where_no_move_raises_the_likelihood():
                 assert likelihood(pairs, moved, 4) <= reached + 1e-6, (seed, w, k)
 
 
+def test_events_take_little_memory_and_leave_in_small_batches():
+    lead = [b"the", b"of"]
+    rng = np.random.default_rng(3)
+    texts = [" ".join(x for w in rng.integers(0, 90_000, 150) for x in (f"w{w}", ("the", "of")[w % 2])) for _ in range(2000)]
+    run = brown_lm._neighbours(lead, np.array([0, 1]), 2)
+    got = list(run(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})])))
+    want = Counter()
+    for t in texts:
+        before = 3  # the end
+        for w, after in zip(*[iter(t.encode().split())] * 2):
+            want[(w, before)] += 1
+            before = lead.index(after)
+            want[(w, 4 + before)] += 1
+    found = Counter()
+    for b in got:
+        for w, k, n in zip(*(c.to_pylist() for c in b.columns)):
+            found[(w, k)] += n
+    assert found == want
+    assert len(got) > 1 and max(b.num_rows for b in got) <= 50_000
+
+    numbers = brown_lm._Numbers(lead)
+    for w in range(90_000):
+        numbers[b"w%d" % w]
+    events = brown_lm._Events(numbers, 8)
+    tracemalloc.start()
+    for _ in range(20):
+        events.add(rng.integers(3, 90_003, 50_000), rng.integers(0, 8, 50_000))
+    n = sum(b.column(2).to_numpy().sum() for b in events.rows())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1_000_000
+    assert peak < 16 * n  # 38 bytes where all are counted at once
+
+
 def test_unseen_words_have_shares_below_one(spark):
     rows = [(i, " ".join(f"u{i}x{j}" for j in range(5))) for i in range(40)]
     got = brown_lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
